@@ -1,0 +1,4 @@
+"""Deliberately empty: the daily run is a batch that filters on change stamps.
+
+Nothing in the pipeline has a watermark, trigger or stateful stream operator.
+"""
