@@ -7,13 +7,17 @@ old table and its changes to a new table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Lists of whole-number keys up to this length (some tens of MB) are broadcast.
+BROADCAST_KEYS = 1_000_000
+
+
 def asc(name: str) -> Column:
     return F.col(name).asc_nulls_last()
 
@@ -63,6 +67,23 @@ def is_in(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
     return df.join(listed.select(column), column, "left_semi")
 
 
+def per_listed_key(
+    df: DataFrame, listed: DataFrame, column: str, reduce_groups: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``reduce_groups(df)`` for the listed keys only.
+
+    A short list, checked by count, is broadcast and filters the scan. A long
+    one would have to shuffle the raw rows by key, and a key with a third of
+    them would end in one task; so then the groups are reduced first, which
+    combines before it shuffles, and the few rows left are filtered.
+    ``listed`` should be a written table: it is counted here.
+    """
+    keys = listed.select(column).distinct()
+    if keys.count() <= BROADCAST_KEYS:
+        return reduce_groups(df.join(F.broadcast(keys), column, "left_semi"))
+    return is_in(reduce_groups(df), keys, column)
+
+
 def exclude(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
     """Delete the rows whose key is listed. A NULL key is never deleted."""
     return df.join(listed.select(column), column, "left_anti")

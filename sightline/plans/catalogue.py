@@ -184,8 +184,8 @@ QUERIES["unpublish_apply"] = _daily(lambda r: r.after_unpublish)
 QUERIES["substitute_intersection"] = _daily(lambda r: r.substitute_intersections.select("mid", "sid"))
 QUERIES["upsert_panel_pool"] = _daily(lambda r: r.pool.drop("err_vac_res"))
 QUERIES["quarantine_invalid"] = _daily(_quarantine)
-QUERIES["publish_ids"] = _daily(lambda r: publish.release_ids(r.t, r.p, r.performance))
-QUERIES["publish_ims"] = _daily(lambda r: publish.release_ims(r.t, r.p, r.performance))
+QUERIES["publish_ids"] = _daily(lambda r: publish.release_ids(r.t, r.p, publish.release_faces(r.t, r.performance)))
+QUERIES["publish_ims"] = _daily(lambda r: publish.release_ims(r.t, r.p, publish.release_faces(r.t, r.performance)))
 QUERIES["publish_replace"] = _daily(lambda r: r.published)
 QUERIES["panel_audit_log"] = _daily(
     lambda r: publish.processed_log(r.panels, r.load_id).unionByName(publish.unpublished_log(r.unpublish_list))

@@ -113,8 +113,9 @@ def result_rows(
         narrow = met.select("mid", "respondent_id", F.lower("dayofweek").alias("weekdayname"), "respweight", "ts_rots")
         rows = narrow.distinct().join(faces, "mid").drop("mid").distinct()
         by = ["pid", "faceid"] if p.grain == "face" else ["pid"]
-        factors = shared.select(*by, "va", "vac_factor").distinct()
-        rows = rows.join(factors, by).join(versions.distinct(), "pid")
+        # joined to each other first, so the contacts meet one table keyed by panel
+        panel_side = shared.select(*by, "va", "vac_factor").distinct().join(versions.distinct(), "pid")
+        rows = rows.join(panel_side, by)
     else:
         rows = met.withColumn("weekdayname", F.lower("dayofweek")).join(shared.join(versions, "pid"), "mid").drop("mid")
     return rows.select(

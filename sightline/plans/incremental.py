@@ -25,8 +25,7 @@ class IncrementalRun:
 
     @cached_property
     def with_results(self) -> DataFrame:
-        changed = materialise(self.changed, "changed")
-        return materialise(panels.attach_latest_result(self.t, self.p, changed), "results")
+        return materialise(panels.attach_latest_result(self.t, self.p, self.changed), "results")
 
     @cached_property
     def recalculation(self) -> lifecycle.Recalculation:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from sightline import constants as c
 from sightline.functions.formulas import complexity, difficulty
-from sightline.operators.relational import delete_where, exclude, first_per_group, is_in, not_in, update_from
+from sightline.operators.relational import delete_where, exclude, first_per_group, is_in, not_in, per_listed_key, update_from
 from sightline.params import ReleaseParams
 from sightline.plans.panels import attach_latest_result, not_calculated, panels_of
+from sightline.session import materialise
 
 NO_CALC_COLUMNS = (
     "pid", "mid", "err_vac_res", "complexity_index", "routing_difficulty", "in_queue", "calculated", "processed",
@@ -68,18 +69,21 @@ def complexity_index(t, p: ReleaseParams, targets: DataFrame) -> DataFrame:
             F.col("link_id").alias("navteqid"), "navteqver"
         )
         segments = segments.join(streets, ["navteqid", "navteqver"])
+    def counts_per_panel(s: DataFrame) -> DataFrame:
+        chosen = first_per_group(s, ["mid", "navteqid", "orient"], {})
+        # every segment brings its two ends; both counts fall out of one grouping by node
+        start, end = (
+            F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2)
+        )
+        ends = chosen.select("mid", F.explode(F.array(start, end)).alias("node"))
+        per_node = ends.groupBy("mid", "node").agg(F.count(F.lit(1)).alias("ends"))
+        return per_node.groupBy("mid").agg(
+            (F.sum("ends") / 2).cast("bigint").alias("total_segments"), F.count(F.lit(1)).alias("total_nodes")
+        )
+
     six = {n: F.round(F.col(n).cast("decimal(18,9)"), 6) for n in ("x1", "y1", "x2", "y2")}
-    near = is_in(segments.select("mid", "navteqid", "orient", *six), targets, "mid").withColumns(six)
-    chosen = first_per_group(near, ["mid", "navteqid", "orient"], {})
-    # one pass: every segment brings its two ends, the counts fall out of one grouping
-    ends = chosen.select(
-        "mid", F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")),
-                                 F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("node")
-    )
-    per_node = ends.groupBy("mid", "node").agg(F.count(F.lit(1)).alias("ends"))
-    counts = per_node.groupBy("mid").agg(
-        (F.sum("ends") / 2).cast("bigint").alias("total_segments"), F.count(F.lit(1)).alias("total_nodes")
-    )
+    rounded = segments.select("mid", "navteqid", "orient", *[v.alias(n) for n, v in six.items()])
+    counts = per_listed_key(rounded, targets, "mid", counts_per_panel)
     index = complexity(F.col("total_segments"), F.col("total_nodes"))
     return (
         targets.select("pid", "mid").distinct().join(counts, "mid")
@@ -166,11 +170,12 @@ def recalculation_steps(t, p: ReleaseParams, panels: DataFrame, queued_at) -> Re
     queued, and only then are calculated ones put back on the list.
     """
     state, left = list_not_calculated(p, panels, t.no_calc_inc)
-    state = rate_complexity(t, p, state)
-    state, revise = set_aside_errors(state, t.pnl_to_revise)
+    state, left = materialise(state, "not-calculated"), materialise(left, "left")
+    rated = materialise(rate_complexity(t, p, state), "rated")
+    state, revise = set_aside_errors(rated, t.pnl_to_revise)
     queue_rows = work_list(t, p, state, queued_at)
-    state = flag_queued_and_calculated(t, p, state, t.vac_queue)
-    back = exclude(panels_of(t, p, recalculated(state)), left, "pid")
+    state = materialise(flag_queued_and_calculated(t, p, state, t.vac_queue), "flagged")
+    back = materialise(exclude(panels_of(t, p, recalculated(state)), left, "pid"), "recalculated")
     listed = left.unionByName(with_results(t, p, back)).distinct()
     return Recalculation(listed, mark_processed(state), revise, queue_rows)
 
@@ -206,5 +211,6 @@ def split_map_versions(t, p: ReleaseParams, panels: DataFrame, state: DataFrame)
     marked = marked.withColumn(
         "processed", F.when(F.col("processed") == 0, F.col("_was")).otherwise(F.col("processed"))
     ).drop("_was")
-    back = panels_of(t, p, marked.filter("processed = 1"))
+    marked = materialise(marked, "versions")
+    back = materialise(panels_of(t, p, marked.filter("processed = 1")), "repaired")
     return current.unionByName(with_results(t, p, back)), marked

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline import constants as c
-from sightline.operators.relational import exclude, first_per_group, is_in, not_in, update_from
+from sightline.operators.relational import exclude, first_per_group, is_in, not_in, per_listed_key, update_from
 from sightline.params import ReleaseParams
 from sightline.schemas import PANEL_LIST_COLUMNS
+from sightline.session import materialise
 
 
 def _panels(t, p: ReleaseParams) -> DataFrame:
@@ -77,8 +78,8 @@ def panels_of(t, p: ReleaseParams, pids: DataFrame) -> DataFrame:
 
 def latest_runs(t, panels: DataFrame) -> DataFrame:
     """Newest visibility run of each listed panel version, with its error."""
-    runs = is_in(t.vai_vac_res.select("mid", "vacid", "err_vac_res"), panels, "mid")
-    return first_per_group(runs, ["mid"], {"vacid": "desc"})
+    runs = t.vai_vac_res.select("mid", "vacid", "err_vac_res")
+    return per_listed_key(runs, panels, "mid", lambda r: first_per_group(r, ["mid"], {"vacid": "desc"}))
 
 
 def attach_latest_result(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
@@ -88,12 +89,15 @@ def attach_latest_result(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
     that run is the newest of all. This is the same as the result of the newest
     run, so results are looked up for the runs at hand instead of ranking all.
     """
-    runs = latest_runs(t, panels)
-    listed = update_from(panels, runs, ["mid"], {"last_vacid": "vacid", "err_vac_res": "err_vac_res"})
+    panels = materialise(panels, "listed")
+    runs = materialise(latest_runs(t, panels), "latest-runs")
     results = t.output_round.filter((F.col("periodid") == p.vac_period) & (F.col("transptype") == "ALL"))
-    values = is_in(results, runs, "vacid").groupBy("vacid").agg(F.max("vac").alias("vac"))
+    values = per_listed_key(
+        results, runs, "vacid", lambda r: r.groupBy("vacid").agg(F.max("vac").alias("vac"))
+    )
+    latest = runs.join(values, "vacid", "left")
     return update_from(
-        listed, values.withColumnRenamed("vacid", "last_vacid"), ["last_vacid"], {"vac_all_1": "vac"}
+        panels, latest, ["mid"], {"last_vacid": "vacid", "err_vac_res": "err_vac_res", "vac_all_1": "vac"}
     )
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sightline import constants as c
 from sightline.functions.formulas import environment_name, visibility
-from sightline.operators.relational import first_per_group, is_in, update_from
+from sightline.operators.relational import first_per_group, is_in, per_listed_key, update_from
+from sightline.session import materialise
 from sightline.params import ReleaseParams
 
 
@@ -21,7 +22,12 @@ def performance_base(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
     With ``face_rules`` rotating panels count by their first position only and
     the environment is taken from the panel's subtype.
     """
-    newest = latest_run_per_face(is_in(t.vai_vac_res.select("faceid", "vacid", "mid"), panels, "mid"))
+    all_runs = t.vai_vac_res.select("mid", "faceid", "vacid")
+    newest = per_listed_key(
+        # one run per panel version and face; of several versions' runs the newest of the face
+        all_runs, panels, "mid", lambda r: first_per_group(r, ["mid", "faceid"], {"vacid": "desc"})
+    )
+    newest = latest_run_per_face(newest)
     main = is_in(t.pnl_main.select("mid", "pid", "pnlsubtype", "pnlmotion"), panels, "mid")
     runs = is_in(t.vai_vac_res.select("vacid", "mid", "faceid", "err_vac_res"), newest, "vacid")
     faces = t.pnl_facemid.select("faceid", "facepid", "face_userid")
@@ -71,8 +77,10 @@ def weekly_scale(df: DataFrame, factor: int, types: tuple[str, ...]) -> DataFram
 
 
 def performance_input(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
-    base = performance_base(t, p, panels)
-    pivot = transport_pivot(is_in(t.output_round, base, "vacid"), p.input_period, p.transport_types)
+    base = materialise(performance_base(t, p, panels), "performance-base")
+    pivot = per_listed_key(
+        t.output_round, base, "vacid", lambda r: transport_pivot(r, p.input_period, p.transport_types)
+    )
     names = {n: n for n in pivot.columns if n != "vacid"}
     full = visibility_columns(update_from(base, pivot, ["vacid"], names), p.transport_types)
     return weekly_scale(full, p.weekly_factor, p.transport_types) if p.weekly_factor else full

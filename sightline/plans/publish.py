@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from sightline import constants as c
 from sightline.operators.relational import (
-    delete_where, drop_by_key, exclude, first_per_group, is_in, not_in, replace_by_key, upsert,
+    delete_where, drop_by_key, exclude, first_per_group, is_in, not_in, per_listed_key, replace_by_key, upsert,
 )
 from sightline.params import ReleaseParams
 from sightline.plans.lifecycle import REVISE_COLUMNS
 from sightline.plans.panels import active, owner_exception
 from sightline.plans.performance import latest_run_per_face
+from sightline.session import materialise
 
 RELEASE_COLUMNS = (
     "rvloadid", "facepid", "vacid", "periodid", "transptype", "vac", "rots", "pid", "mid", "faceid",
@@ -77,34 +78,36 @@ def refresh_pool(pool: DataFrame, panels: DataFrame) -> DataFrame:
     return upsert(pool, panels.drop("err_vac_res"), "mid", POOL_SET_COLUMNS)
 
 
-def _release_candidates(t, performance: DataFrame, periods: tuple[int, ...]) -> DataFrame:
-    """Result rows of the newest run of every face of the processed panels."""
-    faces = is_in(t.pnl_facemid.select("mid", "faceid"), performance, "mid")
-    newest = latest_run_per_face(is_in(t.vai_vac_res.select("faceid", "vacid"), faces, "faceid"))
-    rows = t.output_round.filter(F.col("periodid").isin(*periods))
+def release_faces(t, performance: DataFrame) -> DataFrame:
+    """Faces of the processed panels with their newest run and published face."""
+    faces = materialise(is_in(t.pnl_facemid.select("mid", "faceid"), performance, "mid"), "release-faces")
+    newest = per_listed_key(t.vai_vac_res.select("faceid", "vacid"), faces, "faceid", latest_run_per_face)
     panel_faces = t.pnl_facemid.select("faceid", "facepid", "mid").join(
         t.pnl_faces.select("facepid", "pid"), "facepid"
     )
-    return rows.join(newest, "vacid").join(panel_faces, "faceid")
+    return newest.join(panel_faces, "faceid")
 
 
-def release_ids(t, p: ReleaseParams, performance: DataFrame) -> DataFrame:
+def _release(t, faces: DataFrame, release: int, periods: tuple[int, ...], keys: list[str]) -> DataFrame:
+    rows = t.output_round.filter(F.col("periodid").isin(*periods)).join(faces, "vacid")
+    one = first_per_group(rows, keys, {"vacid": "desc", "faceid": "asc"})
+    return one.withColumn("rvloadid", F.lit(release)).select(*RELEASE_COLUMNS)
+
+
+def release_ids(t, p: ReleaseParams, faces: DataFrame) -> DataFrame:
     """One row per panel face and transport type."""
-    rows = _release_candidates(t, performance, (p.ids_period,))
-    one = first_per_group(rows, ["facepid", "transptype"], {"vacid": "desc", "faceid": "asc"})
-    return one.withColumn("rvloadid", F.lit(p.ids_release)).select(*RELEASE_COLUMNS)
+    return _release(t, faces, p.ids_release, (p.ids_period,), ["facepid", "transptype"])
 
 
-def release_ims(t, p: ReleaseParams, performance: DataFrame) -> DataFrame:
+def release_ims(t, p: ReleaseParams, faces: DataFrame) -> DataFrame:
     """One row per panel face, transport type and period."""
-    rows = _release_candidates(t, performance, p.ims_periods)
-    one = first_per_group(rows, ["facepid", "transptype", "periodid"], {"vacid": "desc", "faceid": "asc"})
-    return one.withColumn("rvloadid", F.lit(p.ims_release)).select(*RELEASE_COLUMNS)
+    return _release(t, faces, p.ims_release, p.ims_periods, ["facepid", "transptype", "periodid"])
 
 
 def publish(t, p: ReleaseParams, published: DataFrame, performance: DataFrame) -> DataFrame:
     """Replace the rows of the processed panels in both releases."""
-    new = release_ids(t, p, performance).unionByName(release_ims(t, p, performance))
+    faces = materialise(release_faces(t, performance), "release-runs")
+    new = release_ids(t, p, faces).unionByName(release_ims(t, p, faces))
     return replace_by_key(published, performance, "pid", F.col("rvloadid").isin(*p.releases), new)
 
 
