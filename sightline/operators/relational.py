@@ -64,7 +64,7 @@ def update_from(target: DataFrame, source: DataFrame, on: Sequence[str], values:
 
 
 def is_in(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
-    return df.join(listed.select(column), column, "left_semi")
+    return df.join(listed.select(column), column, "left_semi").select(*df.columns)
 
 
 def per_listed_key(
@@ -86,7 +86,7 @@ def per_listed_key(
 
 def exclude(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
     """Delete the rows whose key is listed. A NULL key is never deleted."""
-    return df.join(listed.select(column), column, "left_anti")
+    return df.join(listed.select(column), column, "left_anti").select(*df.columns)
 
 
 def not_in(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
