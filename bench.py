@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  test tables (default /root/testdata/sf0.1)
 BENCH_CPUS    cores of the local session (default 8)
-BENCH_RUNS    timed runs per query, the median counts (default 3)
+BENCH_RUNS    timed runs per query, the median counts (default 1)
 BENCH_QUERIES comma-separated names instead of the headline list
 """
 
@@ -36,7 +36,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
     spark = build_session("sightline-bench", cpus)

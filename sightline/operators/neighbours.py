@@ -58,8 +58,11 @@ def knn_join(
     pts = materialise(pts, "knn-candidates")
 
     origin_x, origin_y, root = _root_cell(pts, radius, metric)
-    tree = materialise(_cell_tree(pts, origin_x, origin_y, root, leaf_size), "knn-cells")
-    depth = tree.agg(F.max("level")).first()[0] or 0
+    cells = materialise(_cells(pts, origin_x, origin_y, root), "knn-cells")
+    crowded = F.col("n") > leaf_size
+    deepest = cells.filter(crowded).agg(F.max("level")).first()[0]
+    depth = 0 if deepest is None else min(deepest + 1, MAX_DEPTH)
+    tree = _cell_tree(cells, crowded)
 
     spots = queries.filter("x is not null and y is not null").select(
         F.col("x").alias("qx"), F.col("y").alias("qy")
@@ -107,9 +110,9 @@ def _at_levels(pts: DataFrame, depth: int, origin_x: float, origin_y: float, roo
     )
 
 
-def _cell_tree(pts: DataFrame, origin_x: float, origin_y: float, root: float, leaf_size: int) -> DataFrame:
-    """Cells reached by splitting every cell of more than ``leaf_size`` candidates."""
-    cells = (
+def _cells(pts: DataFrame, origin_x: float, origin_y: float, root: float) -> DataFrame:
+    """Count and bounding box of the candidates in every cell of every level."""
+    return (
         _at_levels(pts.select("x", "y"), MAX_DEPTH, origin_x, origin_y, root)
         .groupBy("level", "ix", "iy")
         .agg(
@@ -117,12 +120,15 @@ def _cell_tree(pts: DataFrame, origin_x: float, origin_y: float, root: float, le
             F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"),
         )
     )
-    cells = materialise(cells, "knn-counts")
-    crowded = cells.filter(F.col("n") > leaf_size).select(
+
+
+def _cell_tree(cells: DataFrame, crowded: Column) -> DataFrame:
+    """The root cells and the children of crowded cells."""
+    split = cells.filter(crowded).select(
         F.col("level").alias("_pl"), F.col("ix").alias("_px"), F.col("iy").alias("_py")
     )
     child = cells.filter("level > 0").join(
-        crowded,
+        split,
         (F.col("level") - 1 == F.col("_pl")) & (_parent("ix") == F.col("_px")) & (_parent("iy") == F.col("_py")),
         "left_semi",
     )

@@ -68,7 +68,8 @@ def is_in(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
 
 
 def per_listed_key(
-    df: DataFrame, listed: DataFrame, column: str, reduce_groups: Callable[[DataFrame], DataFrame]
+    df: DataFrame, listed: DataFrame, column: str, reduce_groups: Callable[[DataFrame], DataFrame],
+    at_most: int | None = None,
 ) -> DataFrame:
     """``reduce_groups(df)`` for the listed keys only.
 
@@ -76,10 +77,11 @@ def per_listed_key(
     one would have to shuffle the raw rows by key, and a key with a third of
     them would end in one task; so then the groups are reduced first, which
     combines before it shuffles, and the few rows left are filtered.
-    ``listed`` should be a written table: it is counted here.
+    ``listed`` should be a written table, as it is counted here; or ``at_most``
+    gives a number of rows it cannot exceed.
     """
-    keys = listed.select(column).distinct()
-    if keys.count() <= BROADCAST_KEYS:
+    keys = listed.select(column)
+    if (listed.count() if at_most is None else at_most) <= BROADCAST_KEYS:
         return reduce_groups(df.join(F.broadcast(keys), column, "left_semi"))
     return is_in(reduce_groups(df), keys, column)
 

@@ -26,7 +26,9 @@ class FullRun:
 
     @cached_property
     def with_results(self) -> DataFrame:
-        return materialise(panels.attach_latest_result(self.t, self.p, self.listed), "results")
+        return materialise(
+            panels.attach_latest_result(self.t, self.p, materialise(self.listed, "listed")), "results"
+        )
 
     @cached_property
     def no_calc_split(self) -> tuple[DataFrame, DataFrame]:

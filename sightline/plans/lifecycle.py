@@ -169,12 +169,13 @@ def recalculation_steps(t, p: ReleaseParams, panels: DataFrame, queued_at) -> Re
     The order matters: cases are listed, rated, failed ones set aside, the rest
     queued, and only then are calculated ones put back on the list.
     """
-    state, left = list_not_calculated(p, panels, t.no_calc_inc)
-    state, left = materialise(state, "not-calculated"), materialise(left, "left")
+    state, _ = list_not_calculated(p, panels, t.no_calc_inc)
+    state = materialise(state, "not-calculated")
+    left = exclude(panels, state, "pid")
     rated = materialise(rate_complexity(t, p, state), "rated")
     state, revise = set_aside_errors(rated, t.pnl_to_revise)
     queue_rows = work_list(t, p, state, queued_at)
-    state = materialise(flag_queued_and_calculated(t, p, state, t.vac_queue), "flagged")
+    state = flag_queued_and_calculated(t, p, state, t.vac_queue)
     back = materialise(exclude(panels_of(t, p, recalculated(state)), left, "pid"), "recalculated")
     listed = left.unionByName(with_results(t, p, back)).distinct()
     return Recalculation(listed, mark_processed(state), revise, queue_rows)

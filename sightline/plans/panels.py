@@ -9,7 +9,6 @@ from sightline import constants as c
 from sightline.operators.relational import exclude, first_per_group, is_in, not_in, per_listed_key, update_from
 from sightline.params import ReleaseParams
 from sightline.schemas import PANEL_LIST_COLUMNS
-from sightline.session import materialise
 
 
 def _panels(t, p: ReleaseParams) -> DataFrame:
@@ -76,10 +75,10 @@ def panels_of(t, p: ReleaseParams, pids: DataFrame) -> DataFrame:
     return _list(is_in(_panels(t, p), pids, "pid"))
 
 
-def latest_runs(t, panels: DataFrame) -> DataFrame:
+def latest_runs(t, panels: DataFrame, at_most: int | None = None) -> DataFrame:
     """Newest visibility run of each listed panel version, with its error."""
     runs = t.vai_vac_res.select("mid", "vacid", "err_vac_res")
-    return per_listed_key(runs, panels, "mid", lambda r: first_per_group(r, ["mid"], {"vacid": "desc"}))
+    return per_listed_key(runs, panels, "mid", lambda r: first_per_group(r, ["mid"], {"vacid": "desc"}), at_most)
 
 
 def attach_latest_result(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
@@ -88,12 +87,13 @@ def attach_latest_result(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
     The value is the one of the newest run that has a result, and counts only if
     that run is the newest of all. This is the same as the result of the newest
     run, so results are looked up for the runs at hand instead of ranking all.
+    ``panels`` should be a written table.
     """
-    panels = materialise(panels, "listed")
-    runs = materialise(latest_runs(t, panels), "latest-runs")
+    count = panels.count()
+    runs = latest_runs(t, panels, at_most=count)  # at most one per panel listed
     results = t.output_round.filter((F.col("periodid") == p.vac_period) & (F.col("transptype") == "ALL"))
     values = per_listed_key(
-        results, runs, "vacid", lambda r: r.groupBy("vacid").agg(F.max("vac").alias("vac"))
+        results, runs, "vacid", lambda r: r.groupBy("vacid").agg(F.max("vac").alias("vac")), at_most=count
     )
     latest = runs.join(values, "vacid", "left")
     return update_from(
