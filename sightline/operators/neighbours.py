@@ -16,11 +16,12 @@ a bounded number of cells.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.functions.geometry import METRES_PER_DEGREE, axis_scales, square
+from sightline.functions.geometry import axis_scales, square
 from sightline.operators.relational import asc
 from sightline.session import materialise
 
@@ -28,6 +29,16 @@ FANOUT = 4
 MAX_DEPTH = 9
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Origin and size of the coarsest cells; ``around``: a query looks at 3 x 3 of them."""
+
+    x: float
+    y: float
+    root: float
+    around: bool
+
+
 def knn_join(
     queries: DataFrame,
     candidates: DataFrame,
@@ -57,8 +68,8 @@ def knn_join(
     pts = located.withColumn("_at", F.row_number().over(spot)).filter(F.col("_at") <= depth_k).drop("_at")
     pts = materialise(pts, "knn-candidates")
 
-    origin_x, origin_y, root = _root_cell(pts, radius, metric)
-    cells = materialise(_cells(pts, origin_x, origin_y, root), "knn-cells")
+    grid = _grid(pts, radius, metric)
+    cells = materialise(_cells(pts, grid), "knn-cells")
     crowded = F.col("n") > leaf_size
     deepest = cells.filter(crowded).agg(F.max("level")).first()[0]
     depth = 0 if deepest is None else min(deepest + 1, MAX_DEPTH)
@@ -67,9 +78,8 @@ def knn_join(
     spots = queries.filter("x is not null and y is not null").select(
         F.col("x").alias("qx"), F.col("y").alias("qy")
     ).distinct()
-    leaves = _walk(spots, tree, depth, depth_k, origin_x, origin_y, root, radius, metric)
-
-    found = _compare(leaves, pts, cand_cols, ties, depth, depth_k, origin_x, origin_y, root, radius, metric)
+    leaves = _walk(spots, tree, depth, depth_k, grid, radius, metric)
+    found = _compare(leaves, pts, cand_cols, ties, depth, depth_k, grid, radius, metric)
     q = queries.withColumnsRenamed({"x": "qx", "y": "qy"})
     joined = q.join(found, ["qx", "qy"]).drop("qx", "qy")
     if exclude_self:
@@ -78,42 +88,37 @@ def knn_join(
     return joined.withColumn("rank", F.row_number().over(per_query)).filter(F.col("rank") <= k)
 
 
-def _root_cell(pts: DataFrame, radius: float | None, metric: str) -> tuple[float, float, float]:
-    """Grid origin and size of the coarsest cells.
-
-    Planar with a radius: cells of the radius, a query looks at the 3 x 3 around
-    it. Otherwise one cell covers all candidates.
-    """
-    if radius is not None and metric == "planar":
-        return 0.0, 0.0, float(radius)
+def _grid(pts: DataFrame, radius: float | None, metric: str) -> Grid:
+    """Cells of the radius if it is planar and smaller than the map; else one cell for all."""
     box = pts.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
     if box[0] is None:
-        return 0.0, 0.0, 1.0
-    extent = max(box[2] - box[0], box[3] - box[1], 1e-9)
-    return box[0], box[1], extent * 1.001
+        return Grid(0.0, 0.0, 1.0, False)
+    extent = max(box[2] - box[0], box[3] - box[1], 1e-9) * 1.001
+    capped = radius is not None and metric == "planar" and 0 < radius < extent
+    return Grid(box[0], box[1], float(radius) if capped else extent, capped)
 
 
-def _index(name: str, origin: float, root: float, level: Column | int) -> Column:
-    per_root = F.pow(F.lit(float(FANOUT)), F.lit(level) if isinstance(level, int) else level)
-    return F.floor((F.col(name) - origin) / root * per_root)
+def _indexes(x: str, y: str, grid: Grid, level: Column) -> tuple[Column, Column]:
+    per_root = F.pow(F.lit(float(FANOUT)), level)
+    return (
+        F.floor((F.col(x) - grid.x) / grid.root * per_root), F.floor((F.col(y) - grid.y) / grid.root * per_root)
+    )
 
 
 def _parent(name: str) -> Column:
     return F.floor(F.col(name) / FANOUT)
 
 
-def _at_levels(pts: DataFrame, depth: int, origin_x: float, origin_y: float, root: float) -> DataFrame:
-    return (
-        pts.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth))))
-        .withColumn("ix", _index("x", origin_x, root, F.col("level")))
-        .withColumn("iy", _index("y", origin_y, root, F.col("level")))
-    )
+def _at_levels(pts: DataFrame, depth: int, grid: Grid) -> DataFrame:
+    ix, iy = _indexes("x", "y", grid, F.col("level"))
+    leveled = pts.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth))))
+    return leveled.withColumns({"ix": ix, "iy": iy})
 
 
-def _cells(pts: DataFrame, origin_x: float, origin_y: float, root: float) -> DataFrame:
+def _cells(pts: DataFrame, grid: Grid) -> DataFrame:
     """Count and bounding box of the candidates in every cell of every level."""
     return (
-        _at_levels(pts.select("x", "y"), MAX_DEPTH, origin_x, origin_y, root)
+        _at_levels(pts.select("x", "y"), MAX_DEPTH, grid)
         .groupBy("level", "ix", "iy")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -136,16 +141,12 @@ def _cell_tree(cells: DataFrame, crowded: Column) -> DataFrame:
 
 
 def _walk(
-    spots: DataFrame, tree: DataFrame, depth: int, k: int,
-    origin_x: float, origin_y: float, root: float, radius: float | None, metric: str,
+    spots: DataFrame, tree: DataFrame, depth: int, k: int, grid: Grid, radius: float | None, metric: str
 ) -> DataFrame:
-    around = F.array(*[F.lit(i) for i in ((-1, 0, 1) if radius is not None and metric == "planar" else (0,))])
-    if radius is not None and metric == "planar":
-        start = (
-            spots.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around))
-            .withColumn("ix", _index("qx", origin_x, root, 0) + F.col("_dx"))
-            .withColumn("iy", _index("qy", origin_y, root, 0) + F.col("_dy"))
-            .drop("_dx", "_dy")
+    if grid.around:
+        ix, iy = _indexes("qx", "qy", grid, F.lit(0))
+        start = spots.withColumn("ix", F.explode(F.sequence(ix - 1, ix + 1))).withColumn(
+            "iy", F.explode(F.sequence(iy - 1, iy + 1))
         )
     else:
         start = spots.withColumn("ix", F.lit(0).cast("bigint")).withColumn("iy", F.lit(0).cast("bigint"))
@@ -192,9 +193,9 @@ def _prune(front: DataFrame, k: int, radius: float | None, metric: str) -> DataF
 
 def _compare(
     leaves: DataFrame, pts: DataFrame, cand_cols: Sequence[str], ties: Sequence[Column], depth: int, k: int,
-    origin_x: float, origin_y: float, root: float, radius: float | None, metric: str,
+    grid: Grid, radius: float | None, metric: str,
 ) -> DataFrame:
-    keyed = _at_levels(pts, depth, origin_x, origin_y, root)
+    keyed = _at_levels(pts, depth, grid)
     sx, sy = axis_scales(metric, F.col("qy"))
     d2 = square((F.col("x") - F.col("qx")) * sx) + square((F.col("y") - F.col("qy")) * sy)
     pairs = leaves.join(keyed, ["level", "ix", "iy"]).withColumn("_d2", d2)

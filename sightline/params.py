@@ -38,6 +38,8 @@ class ReleaseParams:
     vector_key: tuple[str, ...] = ("week_day_type",)
     use_frequency_vector: bool = True
     weekday_prefix: int | None = None
+    numbered_panels_only: bool = False  # of the staged form: panels with a pid
+    substitute_trips: str = "crp_routing"  # trips a daily run matches with borrowed buffers
 
     # contact formula
     grain: str = "face"  # face | panel
@@ -111,7 +113,7 @@ _LEGACY = dict(
 
 def legacy_full_params(as_of: dt.date, map_version: str, **changes) -> ReleaseParams:
     """Older full recompute: no frequency vector, weekly = daily x 7."""
-    return ReleaseParams(as_of, map_version).with_(**{**_LEGACY, **changes})
+    return ReleaseParams(as_of, map_version).with_(**{**_LEGACY, "numbered_panels_only": True, **changes})
 
 
 def legacy_incremental_params(as_of: dt.date, map_version: str, **changes) -> ReleaseParams:

@@ -203,7 +203,7 @@ QUERIES["unpublish_list_owner_exception"] = _tables(
 QUERIES["ims_weekly_scale"] = _full(
     lambda r: performance.performance_input(r.t, _LEGACY_FULL, r.panels).drop("pnlvaienv")
 )
-QUERIES["ccf_input_legacy"] = _full(lambda r: contacts.staged_contact_input(r.t, r.evidence))
+QUERIES["ccf_input_legacy"] = _full(lambda r: contacts.staged_contact_input(r.t, _LEGACY_FULL, r.evidence))
 QUERIES["ccf_result_legacy"] = _full(
     lambda r: _rounded(
         ccf.staged_result_rows(

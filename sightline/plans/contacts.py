@@ -72,10 +72,12 @@ def rots_by_panel(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
 
 
 # -- older staged form ---------------------------------------------------------
-def staged_contact_input(t, evidence: DataFrame) -> DataFrame:
-    """Evidence with trip and panel attributes; panels without an id are left out."""
+def staged_contact_input(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
+    """Evidence with trip and panel attributes."""
     trips = t.crp_routing.select("sid", "respondent_id", "routingmode")
-    panels = t.pnl_main.filter("pid is not null and pid <> 0").select("mid", "pid")
+    panels = t.pnl_main.select("mid", "pid")
+    if p.numbered_panels_only:
+        panels = panels.filter("pid is not null and pid <> 0")
     return evidence.select("mid", "sid").join(trips, "sid").join(panels, "mid").select(
         "mid", "sid", "respondent_id", "routingmode", "pid"
     )
@@ -85,7 +87,7 @@ def staged_contacts(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
     """Older contacts per panel: weights without a frequency vector, no faces."""
     trips = t.crp_routing.select("sid", "respondent_id", F.left("week_day_name", F.lit(p.weekday_prefix)).alias("dayofweek"))
     return (
-        staged_contact_input(t, evidence).join(trips, ["sid", "respondent_id"])
+        staged_contact_input(t, p, evidence).join(trips, ["sid", "respondent_id"])
         .join(t.resp_weight_input, "respondent_id")
         .select(
             "pid", "sid", F.col("benchwgt_pp").alias("respweight"), F.col("routingmode").alias("modality"), "dayofweek",

@@ -14,9 +14,8 @@ from sightline.params import ReleaseParams
 EVIDENCE_COLUMNS = ("mid", "sid", "week_day_name", "week_day_type")
 
 
-def trip_intersections(t, p: ReleaseParams, panels: DataFrame, panel_key: str = "mid") -> DataFrame:
+def trip_intersections(trips: DataFrame, p: ReleaseParams, panels: DataFrame, panel_key: str = "mid") -> DataFrame:
     """Trips that pass within the buffer radius of each panel row."""
-    trips = t.crp_routing
     # several rows of one trip id are told apart by their row key, if there is one
     key = ["sid", "trip_row"] if "trip_row" in trips.columns else ["sid"]
     found = within_distance_join(
@@ -77,6 +76,6 @@ def substitute_intersections(t, p: ReleaseParams, best: DataFrame) -> DataFrame:
     borrowed = best.select("mid_woi", "best_mid_near").join(shapes, "best_mid_near").select(
         "mid_woi", "x", "y", (F.col("maxdist") + p.buffer_margin).cast("double").alias("radius")
     )
-    found = trip_intersections(t, p, borrowed, panel_key="mid_woi")
+    found = trip_intersections(getattr(t, p.substitute_trips), p, borrowed, panel_key="mid_woi")
     none = F.lit(None).cast("string")
     return found.select("mid", "sid", none.alias("week_day_name"), none.alias("week_day_type"))

@@ -6,7 +6,7 @@ import pytest
 from conftest import AS_OF, LONG_AGO, NOON_TODAY, Tables, rows
 from pyspark.sql import functions as F
 
-from sightline.params import legacy_full_params
+from sightline.params import legacy_full_params, legacy_incremental_params
 from sightline.plans.runner import run_full, run_incremental
 from sightline.schemas import INPUTS
 from sightline.sources.snapshots import SnapshotStore
@@ -184,3 +184,16 @@ def test_failed_run_changes_nothing(spark, place, store, full_p):
     again = SnapshotStore(spark, store.root)
     assert again.run_id == 1 and rows(again.read("all_panel")) == before
     assert again.read("ccf_result").agg(F.count("*")).first()[0] == 6
+
+
+def test_older_daily_run(spark, place, store, full_p):
+    run_full(store, place(), full_p)
+    # the older form reads period 2 and publishes other releases
+    p = legacy_incremental_params(AS_OF, "25q1", vac_period=1, input_period=1, ids_period=1, ims_periods=(200,))
+    changed = place("changed", changed_stamp=NOON_TODAY)
+    assert run_incremental(store, changed, p)["processed"] == 1
+    got = rows(store.read("ccf_result_inc"), "pid", "faceid", "respondent_id", "weekdayname", "vac")
+    assert got == [(1, 0, "CZE1", "mo", 20.0), (1, 0, "CZE1", "mo", 20.0), (1, 0, "CZE2", "mo", 30.0)]
+    assert rows(store.read("release_publish"), "rvloadid", "facepid", "transptype") == [
+        (104, 11, "ALL"), (104, 11, "VEH"), (105, 11, "ALL")
+    ]
