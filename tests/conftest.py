@@ -20,7 +20,7 @@ LONG_AGO = dt.datetime(2024, 1, 1, 12)
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "4", 4)
+    session = build_session("tests", "4", 2)
     yield session
     session.stop()
 
