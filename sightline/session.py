@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -26,16 +29,34 @@ def build_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> Sp
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; an own one only where none is named."""
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
+
+    A local session, as in tests, gets an own folder where none is named. A
+    cluster must name one: files in a machine's own folder are lost to the others.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     app = spark.sparkContext.applicationId
     if app not in _own_scratch:
         _own_scratch[app] = tempfile.mkdtemp(prefix="sightline-")
+        atexit.register(shutil.rmtree, _own_scratch[app], ignore_errors=True)
     return _own_scratch[app]
 
 
+def _app_scratch(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/sightline/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, when nothing reads them any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_app_scratch(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -44,7 +65,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     joins choose their strategy from it.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_dir(spark)}/sightline/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{_app_scratch(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
