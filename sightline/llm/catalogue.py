@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import digests, mixing, ngram_join, packing, shards, substrings, url_rules
+from sightline.llm import digests, mixing, ngram_join, packing, shards, substrings, url_rules, vector_links
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -31,6 +31,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.link_vectors(_read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_similar(_read(spark, sf_dir, "documents"), n=4, percent=85).drop("h")
 
@@ -44,7 +48,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(_read(spark, sf_dir, "documents")).taken.drop("h", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_fingerprints, op3_url_filter, op4_packing, op8_ngram_join, op9_training_order, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_fingerprints, op3_url_filter, op4_packing, op6_vector_links, op8_ngram_join, op9_training_order, op10_mixing)}
 
 ORACLES = {
     "op3_url_filter": """
