@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import digests, line_quality, mixing, ngram_join, packing, shards, substrings, url_rules, vector_links
+import corpus_pipeline
+from sightline.llm import digests, line_quality, mixing, ngram_join, packing, personal_data, shards, substrings, url_rules, vector_links
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -31,25 +32,24 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
-def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vector_links.link_vectors(_read(spark, sf_dir, "embeddings"), threshold=0.9)
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.detect(_read(spark, sf_dir, "documents")).drop("text", "redacted")
 
 
-def held_out() -> Column:
-    """The fold that no model learns from; a document without an id is not in it."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.link_vectors(_read(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = _read(spark, sf_dir, "labels").filter(~held_out()).select("doc_id", F.col("quality").alias("label"))
+    labels = _read(spark, sf_dir, "labels").filter(~line_quality.held_out()).select("doc_id", F.col("quality").alias("label"))
     model = line_quality.train(documents, labels)
     return line_quality.score(documents, model).select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        "doc_id", line_quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join_similar(_read(spark, sf_dir, "documents"), n=4, percent=85).drop("h")
+    return ngram_join.join_similar(_read(spark, sf_dir, "documents"), n=4, percent=85).drop("h", "component")
 
 
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(_read(spark, sf_dir, "documents")).taken.drop("h", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_fingerprints, op3_url_filter, op4_packing, op6_vector_links, op7_line_quality, op8_ngram_join, op9_training_order, op10_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_fingerprints, op3_url_filter, op4_packing, op5_personal_data, op6_vector_links, op7_line_quality, op8_ngram_join, op9_training_order, op10_mixing,
+)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES = {
     "op3_url_filter": """

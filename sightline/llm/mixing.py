@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +81,28 @@ def _slots(seed: int):
     return run
 
 
+def _take(names: list[str]):
+    """Texts cut to the words of their spans; a text taken whole stays as it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+                words = text.encode().split()
+                runs: list[list[int]] = []
+                for s in spans:
+                    if runs and runs[-1][1] == s["from"]:
+                        runs[-1][1] = s["to"]
+                    else:
+                        runs.append([s["from"], s["to"]])
+                whole = runs == [[0, len(words)]]
+                texts.append(text if whole else "\n".join(b" ".join(words[i:j]).decode() for i, j in runs))
+            out = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+            yield out.select(names)
+
+    return run
+
+
 class Mix:
     """``documents`` (doc_id, source, text) mixed; ``placed``, ``slots`` and ``taken`` are its tables."""
 
@@ -87,7 +110,7 @@ class Mix:
         self, documents: DataFrame, share: float = 1.5, most: int = 2, weights: tuple = WEIGHTS, seed: int = 0,
         block_words: int = BLOCK_WORDS, shards: int = SHARDS,
     ) -> None:
-        spark = documents.sparkSession
+        spark, self.documents = documents.sparkSession, documents
         self.block_words, self.most = block_words, most
         sized = materialise(documents.select(
             F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
@@ -140,3 +163,20 @@ class Mix:
         drawn = self.slots.select("number", "block", "turn")
         return self._pieces.join(drawn, ["number", "block"]).groupBy("number", "begin", "doc_id", "h", "turn").agg(
             F.array_sort(F.collect_list(F.struct("from", "to"))).alias("spans")).drop("number")
+
+    @property
+    def texts(self) -> DataFrame:
+        """The mix as documents, all columns: a row for each time round that takes of a document, its text what is
+        taken of it; n_chars follows, if there is one. What the blocks between leave out is a line break."""
+        names, schema = self.documents.columns, self.documents.schema
+        key = F.col("doc_id").cast("long")
+        alike = Window.partitionBy("_id", "_none", "_h")
+        keyed = self.documents.withColumns({
+            "_id": F.coalesce(key, F.lit(0)), "_none": key.isNull(), "_h": F.xxhash64(F.coalesce("text", F.lit("")))})
+        keyed = keyed.withColumn("_copy", F.dense_rank().over(alike.orderBy(F.monotonically_increasing_id())))
+        spans = self.spans.select(
+            F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), F.col("h").alias("_h"),
+            "begin", F.col("spans").alias("_spans"))
+        spans = spans.withColumn("_copy", F.dense_rank().over(alike.orderBy("begin"))).drop("begin")
+        out = keyed.join(spans, ["_id", "_none", "_h", "_copy"]).select(*names, "_spans").mapInArrow(_take(names), schema)
+        return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.llm.graph import components
@@ -251,11 +251,12 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
 
 
 def join_similar(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, h, n_shingles, component_id): one row per document.
+    """(doc_id, h, n_shingles, component_id, component): one row per document.
 
     ``component_id`` is the smallest doc_id linked directly or through others, with
     Jaccard of at least ``percent`` / 100. ``h`` is the hash of the text, for rows that
-    share an id. Null ids link like any other; a component of nothing else has a null id.
+    share an id. Null ids link like any other; a component of nothing else has a null id,
+    so ``component`` tells components apart by number. It is null without n-grams.
     """
     base = documents.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
     sets, links = similar_classes(base, n, percent)
@@ -265,7 +266,25 @@ def join_similar(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     placed = low.join(groups.toDF("sid", "component"), "sid", "left").withColumn(
         "component", F.coalesce("component", "sid"))
     of_component = placed.groupBy("component").agg(F.min("low").alias("component_id"))
-    ids = materialise(placed.join(of_component, "component").select("sid", "component_id"), "components")
-    names = ["doc_id", "h", "n_shingles", "component_id"]
+    ids = materialise(placed.join(of_component, "component").select("sid", "component_id", "component"), "components")
+    names = ["doc_id", "h", "n_shingles", "component_id", "component"]
     return members.join(ids, "sid").select(names).unionByName(
-        sets.filter("sid is null").withColumn("component_id", F.col("doc_id")).select(names))
+        sets.filter("sid is null").withColumns(
+            {"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")}).select(names))
+
+
+def one_of_each(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """The documents with the smallest id of each component, all columns; those without words all stay."""
+    placed = join_similar(documents, n, percent)
+    keep = placed.filter("component is not null").groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNotNull(), "doc_id", "h")).alias("k"))
+    keep = keep.select("k.doc_id", "k.h").unionByName(placed.filter("component is null").select("doc_id", "h"))
+    key, names = F.col("doc_id").cast("long"), documents.columns
+    keyed = documents.withColumns({
+        "_id": F.coalesce(key, F.lit(0)), "_none": key.isNull(), "_h": F.xxhash64(F.coalesce("text", F.lit("")))})
+    keep = keep.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
+                       F.col("h").alias("_h"))
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    alike = Window.partitionBy("_id", "_none", "_h").orderBy("_id")
+    return keyed.join(keep, ["_id", "_none", "_h"], "left_semi").withColumn("_copy", F.row_number().over(alike)).filter(
+        (F.col("_copy") == 1) | wordless).select(names)
