@@ -13,11 +13,15 @@ order-free 64-bit hash of the set. Everything after works on classes.
 3. First round: each class is verified against the leader it shares most prefix n-grams
    with, if length and position allow the pair. Classes of one group of near copies
    mostly meet here, with one pair per class.
-4. Second round: the prefix join proper, between classes that are not connected yet.
-   Length and positional filters are part of the join condition; pairs verified before
-   are left out; the suffix filter bounds the overlap by what equal parts of the hash
-   range hold in both sets. A pair whose ends are already connected cannot change the
-   result, so a group never spreads into all its pairs.
+   ``MORE_ROUNDS`` further rounds do the same with n-grams that still lie in several
+   components. Their leader is a member of the largest one, another for each n-gram, and
+   each class tries the ``LEADERS`` it shares most with.
+4. Last round: the prefix join proper, between classes that are not connected yet.
+   Length, positional and suffix filters are part of the join condition. The suffix
+   filter cuts both sets into the same ``PARTS`` by hash, as the recursive one does; parts
+   whose sizes differ in parity hold an n-gram of one set only, so their number bounds the
+   difference from below. Pairs verified before are left out. A pair whose ends are already
+   connected cannot change the result, so a group never spreads into all its pairs.
 5. Verified pairs give the components.
 
 Empty and null texts have no n-gram and link with nothing. A text with fewer words than
@@ -38,8 +42,10 @@ from sightline.llm.words import batch_chunks, gram_hashes, hash_words, mix
 from sightline.session import materialise
 
 BUCKETS = 1 << 16
-PARTS = 16
+PARTS = 512
+_SIGNS = [f"s{i}" for i in range(PARTS // 64)]
 REMEMBERED = 200_000
+MORE_ROUNDS, LEADERS = 2, 3
 _A, _B = np.uint64(0xD1342543DE82EF95), np.uint64(0xF1357AEA2E62A9C5)
 
 
@@ -74,7 +80,7 @@ def set_hashes(owner: np.ndarray, gram: np.ndarray, n_texts: int) -> tuple[np.nd
 
 
 def _classes(n: int):
-    names = ["doc_id", "h", "n_shingles", "sid", "parts", "bucket", "times"]
+    names = ["doc_id", "h", "n_shingles", "sid", *_SIGNS, "bucket", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
@@ -84,16 +90,16 @@ def _classes(n: int):
                 sid, size = set_hashes(owner, gram, len(texts))
                 counts += np.bincount((gram >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
                 cell = owner * PARTS + ((gram >> np.uint64(20)) % np.uint64(PARTS)).astype(np.int64)
-                parts = np.bincount(cell, minlength=len(texts) * PARTS).astype(np.int32)
+                odd = (np.bincount(cell, minlength=len(texts) * PARTS) & 1).astype(np.uint8).reshape(-1, PARTS)
+                signs = np.packbits(odd, axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("h"), pa.array(size), pa.array(sid, mask=size == 0),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * PARTS), pa.array(parts)),
+                     *(pa.array(np.ascontiguousarray(c)) for c in signs.T),
                      pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.int64())], names)
         at = np.flatnonzero(counts)
         none = pa.nulls(len(at), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.nulls(len(at), pa.list_(pa.int32())), pa.array(at.astype(np.int32)),
-             pa.array(counts[at])], names)
+            [none] * (4 + len(_SIGNS)) + [pa.array(at.astype(np.int32)), pa.array(counts[at])], names)
 
     return run
 
@@ -186,7 +192,8 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
     """(documents with n_shingles and sid, links between classes (a, b)); ``base`` has doc_id, h, text."""
     spark = base.sparkSession
     told = materialise(base.mapInArrow(
-        _classes(n), "doc_id long, h long, n_shingles long, sid long, parts array<int>, bucket int, times long"), "gram-sets")
+        _classes(n), f"doc_id long, h long, n_shingles long, sid long, {', '.join(c + ' long' for c in _SIGNS)}, "
+        "bucket int, times long"), "gram-sets")
     documents = told.filter("bucket is null").drop("bucket", "times")
     counts = np.zeros(BUCKETS, np.int64)
     for bucket, times in told.filter("bucket is not null").groupBy("bucket").agg(F.sum("times")).collect():
@@ -213,8 +220,7 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
     first = materialise(first, "leader-pairs")
     classes = materialise(
         documents.filter("sid is not null").groupBy("sid").agg(
-            F.min(F.struct("doc_id", "h")).alias("at"), F.first("parts").alias("parts"),
-            F.first("n_shingles").alias("size")), "classes")
+            F.min(F.struct("doc_id", "h")).alias("at"), *(F.first(c).alias(c) for c in _SIGNS)), "classes")
     # only classes that some n-gram brings to another one are ever verified
     at = shared.filter("sid <> l_sid").select(F.explode(F.array("sid", "l_sid")).alias("sid")).distinct()
     wanted = at.join(classes, "sid").select("sid", "at.doc_id", "at.h")
@@ -224,28 +230,41 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
         .select("sid", "text"), "class-texts")
     links = materialise(verify(first, texts, n, percent), "leader-links")
 
-    groups = components(links.filter("linked").select("a", "b"))
-    placed = (
-        shared.join(groups.toDF("sid", "component"), "sid", "left")
-        .select("gram", "sid", "size", "place", F.coalesce("component", "sid").alias("component"))
-    )
-    apart = materialise(placed, "placed-grams")
-    several = apart.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    apart = apart.join(several.select("gram"), "gram", "left_semi")
+    def apart_now(rows: DataFrame) -> DataFrame:
+        """The rows with their components, of n-grams that still lie in several; members: size of the component."""
+        groups = components(links.filter("linked").select("a", "b"))
+        sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
+        told = groups.join(sizes, "component").select(F.col("node").alias("sid"), "component", "members")
+        placed = materialise(rows.select("gram", "sid", "size", "place").join(told, "sid", "left").select(
+            "gram", "sid", "size", "place", F.coalesce("component", "sid").alias("component"),
+            F.coalesce("members", F.lit(1)).alias("members")), "placed-grams")
+        several = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+        return materialise(placed.join(several.select("gram"), "gram", "left_semi"), "grams-apart")
+
+    apart = shared
+    for _ in range(MORE_ROUNDS):
+        apart = apart_now(apart)
+        lead = apart.groupBy("gram").agg(F.max_by(
+            F.struct("sid", "size", "place", "component"), F.struct("members", F.xxhash64("gram", "sid"))).alias("l"))
+        near = (
+            apart.alias("x").join(lead.select("gram", "l.*").alias("y"), "gram")
+            .filter(f"x.component <> y.component and if(x.size < y.size, {allowed('x.', 'y.')}, {allowed('y.', 'x.')})")
+            .groupBy(F.col("x.sid"), F.col("y.sid").alias("l_sid")).agg(F.count("*").alias("times"))
+            .withColumn("place", F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("times"), "l_sid")))
+            .filter(f"place <= {LEADERS}")
+            .select(F.least("sid", "l_sid").alias("a"), F.greatest("sid", "l_sid").alias("b")).distinct()
+            .join(links.select("a", "b"), ["a", "b"], "left_anti")
+        )
+        links = materialise(links.unionByName(verify(materialise(near, "leader-pairs"), texts, n, percent)), "leader-links")
+    apart = apart_now(apart)
+    apart = apart.join(classes.select("sid", *_SIGNS), "sid")
     x, y = apart.alias("x"), apart.alias("y")
+    unlike = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in _SIGNS)
     second = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & F.expr(
-        f"(x.size < y.size or x.size = y.size and x.sid < y.sid) and {allowed('x.', 'y.')}"))
+        f"(x.size < y.size or x.size = y.size and x.sid < y.sid) and {allowed('x.', 'y.')} and "
+        f"{100 + percent} * ({unlike}) <= {100 - percent} * (x.size + y.size)"))
     second = second.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
     second = second.join(links.select("a", "b"), ["a", "b"], "left_anti")
-    size_and_parts = classes.select("sid", "size", "parts")
-    second = (
-        second.join(size_and_parts.toDF("a", "a_size", "a_parts"), "a")
-        .join(size_and_parts.toDF("b", "b_size", "b_parts"), "b")
-        # |x & y| is at most the sum over parts of the smaller count
-        .filter(f"{100 + percent} * aggregate(zip_with(a_parts, b_parts, (p, q) -> least(p, q)), 0L, (s, p) -> s + p)"
-                f" >= {percent} * (a_size + b_size)")
-        .select("a", "b")
-    )
     more = verify(materialise(second, "prefix-pairs"), texts, n, percent)
     return documents, links.unionByName(materialise(more, "prefix-links")).filter("linked").select("a", "b")
 
