@@ -37,7 +37,7 @@ WEIGHTS = (3, 1, 2)
 WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 64
 SHARDS = 64
-PART_ROWS = 20_000
+PART_ROWS = 4_000
 _CHUNK = 1 << 18
 
 
