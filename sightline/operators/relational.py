@@ -14,9 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Lists of whole-number keys up to this length (some tens of MB) are broadcast.
-BROADCAST_KEYS = 1_000_000
-
 
 def asc(name: str) -> Column:
     return F.col(name).asc_nulls_last()
@@ -68,22 +65,15 @@ def is_in(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
 
 
 def per_listed_key(
-    df: DataFrame, listed: DataFrame, column: str, reduce_groups: Callable[[DataFrame], DataFrame],
-    at_most: int | None = None,
+    df: DataFrame, listed: DataFrame, column: str, reduce_groups: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """``reduce_groups(df)`` for the listed keys only.
 
-    A short list, checked by count, is broadcast and filters the scan. A long
-    one would have to shuffle the raw rows by key, and a key with a third of
-    them would end in one task; so then the groups are reduced first, which
-    combines before it shuffles, and the few rows left are filtered.
-    ``listed`` should be a written table, as it is counted here; or ``at_most``
-    gives a number of rows it cannot exceed.
+    One plan for lists of any length: a semi join without a hint. Spark broadcasts
+    the list if its size at run time allows, and then the groups are reduced before
+    any shuffle; else both sides are shuffled by the key, once for join and groups.
     """
-    keys = listed.select(column)
-    if (listed.count() if at_most is None else at_most) <= BROADCAST_KEYS:
-        return reduce_groups(df.join(F.broadcast(keys), column, "left_semi"))
-    return is_in(reduce_groups(df), keys, column)
+    return reduce_groups(is_in(df, listed, column))
 
 
 def exclude(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:

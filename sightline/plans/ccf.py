@@ -87,9 +87,17 @@ def contacts_with_reach(t, p: ReleaseParams, evidence: DataFrame, stats: DataFra
 
 
 def control_sums(t, p: ReleaseParams, evidence: DataFrame, stats: DataFrame, load_id: int) -> DataFrame:
-    """Sums of contacts and vac per face, for checking a load."""
-    return contacts_with_reach(t, p, evidence, stats).groupBy("pid", "faceid").agg(
-        F.sum("ts_rots").cast("double").alias("sum_of_ts_rots"), F.sum("vac").alias("sum_of_ts_vac"),
+    """Sums of contacts and vac per face, for checking a load.
+
+    All contacts of a panel version share the vac factor of a face, so their weights
+    are summed per version before the faces come in.
+    """
+    per_trip = contacts.trip_contacts(t, p).groupBy("sid").agg(
+        F.sum("ts_rots").alias("rots"), F.sum(p.vac_weight).alias("weight"))
+    per_version = evidence.select("mid", "sid").join(per_trip, "sid").groupBy("mid").agg(
+        F.sum("rots").alias("rots"), F.sum("weight").cast("double").alias("weight"))
+    return per_version.join(faces_with_reach(t, p, stats), "mid").groupBy("pid", "faceid").agg(
+        F.sum("rots").cast("double").alias("sum_of_ts_rots"), F.sum(F.col("vac_factor") * F.col("weight")).alias("sum_of_ts_vac"),
         F.lit(load_id).cast("bigint").alias("load_id"),
     )
 

@@ -28,7 +28,8 @@ def _yesterday(p: ReleaseParams):
 def unpublish_list(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
     """Panels to take down, with the reason; one row per reason met.
 
-    Panels that are being processed now stay published.
+    Panels that are being processed now stay published. The exempt owner's panels
+    stay as well, unless they are demolished now.
     """
     state = t.panel_state
     no_mid = F.lit(None).cast("bigint").alias("mid")
@@ -46,10 +47,10 @@ def unpublish_list(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
         (F.col("stamp") > _yesterday(p)) & (F.col("timeattid") != c.NOT_DEMOLISHED)
     ).select(no_mid, "pid", F.lit(c.UNPUBLISH_DEMOLISHED_TEXT).alias("desc_text"))
 
-    listed = withdrawn.unionByName(past).unionByName(demolished)
+    listed = withdrawn.unionByName(past)
     if p.owner_exception is not None:
         listed = exclude(listed, state.filter(owner_exception(p)), "pid")
-    return exclude(listed, panels, "pid")
+    return exclude(listed.unionByName(demolished), panels, "pid")
 
 
 def unpublish(p: ReleaseParams, published: DataFrame, listed: DataFrame) -> DataFrame:
@@ -63,7 +64,11 @@ def invalid():
 
 
 def quarantine(result: DataFrame, revise: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid result rows, revise list with the panels of the others)."""
+    """(valid result rows, revise list with the panels of the others).
+
+    ``result`` may hold several loads: a panel is known if the list had it before,
+    not because another load in hand has set it aside.
+    """
     known = revise.filter("load_id is not null")
     bad = result.filter(invalid()).select("pid", "mid", "load_id", "va", "vac").distinct()
     new = not_in(bad, known, "pid").withColumn("null_zero_result", F.lit(True))

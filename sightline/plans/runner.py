@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-
 from sightline.params import ReleaseParams
 from sightline.plans import publish
 from sightline.plans.full import FullRun
 from sightline.plans.incremental import IncrementalRun
+from sightline.session import materialise
 from sightline.sources.snapshots import SnapshotStore, StoredTables
 
 
@@ -16,15 +16,16 @@ def _next_load(loads) -> int:
     return publish.next_load_id(loads).first()["load_id"]
 
 
-def _load_row(store: SnapshotStore, load_id: int, user: str):
-    return store.spark.createDataFrame([(load_id, user)], "load_id BIGINT, user STRING")
+def _load_row(store: SnapshotStore, load_id: int, user: str | None):
+    """Registered under the session's user, unless another one is named."""
+    return store.spark.createDataFrame([(load_id, user or store.spark.sparkContext.sparkUser())], "load_id BIGINT, user STRING")
 
 
 def _load_part(load_id: int) -> str:
     return f"load{load_id}"
 
 
-def run_full(store: SnapshotStore, inputs: str, p: ReleaseParams, user: str = "") -> dict[str, int]:
+def run_full(store: SnapshotStore, inputs: str, p: ReleaseParams, user: str | None = None) -> dict[str, int]:
     """Recompute all panels. Returns the run's counters; load_id 0 means nothing to do."""
     t = StoredTables(store, inputs)
     out = store.begin()
@@ -52,7 +53,7 @@ def run_full(store: SnapshotStore, inputs: str, p: ReleaseParams, user: str = ""
 
 
 def run_incremental(
-    store: SnapshotStore, inputs: str, p: ReleaseParams, user: str = "", queued_at: dt.datetime | None = None
+    store: SnapshotStore, inputs: str, p: ReleaseParams, user: str | None = None, queued_at: dt.datetime | None = None
 ) -> dict[str, int]:
     """Process what changed, publish it, and carry the daily state forward.
 
@@ -81,10 +82,9 @@ def run_incremental(
     out.replace("bad_navteq", run.version_split[1])
     out.replace("all_panel", run.pool)
 
-    valid, revise = publish.quarantine(run.result, step.revise)
-    revise = _quarantine_earlier(store, out, revise)
-    result = out.append("ccf_result_inc", valid, part, as_table="ccf_result")
-    out.replace("pnl_to_revise", revise)
+    rows = materialise(run.result, "result")
+    out.replace("pnl_to_revise", _set_aside(store, out, rows, step.revise))
+    result = out.append("ccf_result_inc", publish.quarantine(rows, step.revise)[0], part, as_table="ccf_result")
     out.replace("release_publish", run.published)
     out.append("panel_log", publish.processed_log(run.panels, load_id), f"daily{load_id}")
     counters.update(load_id=load_id, processed=run.panels.count(), result_rows=result.count())
@@ -92,17 +92,17 @@ def run_incremental(
     return counters
 
 
-def _quarantine_earlier(store: SnapshotStore, out, revise):
-    """Invalid rows of earlier loads, should there be any, are set aside as well.
+def _set_aside(store: SnapshotStore, out, rows, revise):
+    """The revise list with the invalid rows of this load and, should there be any, of earlier ones.
 
-    Finding them is a filter the scan can skip whole files by; only loads that
-    have some are written again.
+    All are held against the list as it was. Finding them is a filter the scan can
+    skip whole files by; only parts that have some are written again.
     """
-    earlier = store.read("ccf_result_inc")
-    affected = [r.load_id for r in earlier.filter(publish.invalid()).select("load_id").distinct().collect()]
-    for load_id in sorted(affected):
-        part = _load_part(load_id)
-        rows = store.read("ccf_result_inc", parts=[part])
-        valid, revise = publish.quarantine(rows, revise)
-        out.replace("ccf_result_inc", valid, part, as_table="ccf_result")
-    return revise
+    names = ["pid", "mid", "load_id", "va", "vac"]
+    earlier = store.read("ccf_result_inc").filter(publish.invalid())
+    affected = {_load_part(r.load_id) for r in earlier.select("load_id").distinct().collect()}
+    for part in store.paths.get("ccf_result_inc", {}):
+        if part in affected or part.rpartition("-")[0] in affected:
+            kept = publish.quarantine(store.read("ccf_result_inc", parts=[part]), revise)[0]
+            out.replace("ccf_result_inc", kept, part, as_table="ccf_result")
+    return publish.quarantine(rows.select(*names).unionByName(earlier.select(*names)), revise)[1]

@@ -199,6 +199,12 @@ def test_unpublish_list(tables, spark, daily_p):
     assert (4,) not in rows(publish.unpublish_list(t, daily_p.with_(owner_exception=51), processed), "pid")
 
 
+def test_demolished_panels_of_the_exempt_owner_are_taken_down(tables, spark, daily_p):
+    t = tables(panel_state=[(4, 4, NOON_TODAY, 1, 0, 51)], pnl_timeatts=[(4, NOON_TODAY, 1)])
+    got = publish.unpublish_list(t, daily_p.with_(owner_exception=51), listed(spark, panel(5, 1.0)))
+    assert rows(got, "pid", "desc_text") == [(4, "Unpublish - demolished")]
+
+
 def test_quarantine(tables, spark):
     result = spark.createDataFrame(
         [(1, 1, 5, 0.5, 1.0), (2, 2, 5, None, 1.0), (2, 2, 5, None, 1.0), (3, 3, 5, 0.5, -1.0), (4, 4, 5, -0.1, 0.0)],
@@ -208,6 +214,8 @@ def test_quarantine(tables, spark):
     valid, revise = publish.quarantine(result, t.pnl_to_revise)
     assert rows(valid, "pid") == [(1,)]
     assert rows(revise.filter("null_zero_result"), "pid", "load_id") == [(2, 5), (4, 5)]
+    loads = spark.createDataFrame([(9, 9, 7, None, 1.0), (9, 9, 8, None, 1.0), (3, 3, 8, None, 1.0)], result.schema)
+    assert rows(publish.quarantine(loads, t.pnl_to_revise)[1].filter("null_zero_result"), "pid", "load_id") == [(9, 7), (9, 8)]
 
 
 def test_neighbour_choice(tables, spark, daily_p):

@@ -1,5 +1,6 @@
 """Ordering and NULL rules of the table operators."""
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -59,16 +60,21 @@ def test_replace_only_within_the_scope(spark):
     assert rows(got) == [(1, 99, "a"), (1, 100, "n"), (2, 100, "c")]
 
 
-def test_long_and_short_key_lists_give_the_same(spark, monkeypatch):
-    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS v")
-    listed = spark.createDataFrame([(1,), (3,), (3,)], "k BIGINT")
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_long_and_short_key_lists_give_the_same(spark, threshold):
+    """With and without a broadcast; one key has a third of all rows."""
+    df = spark.range(1000).selectExpr("if(id % 3 = 0, 2, id % 7) AS k", "id AS v")
+    listed = spark.createDataFrame([(1,), (2,), (3,), (3,)], "k BIGINT")
 
     def run():
         return rows(rel.per_listed_key(df, listed, "k", lambda d: d.groupBy("k").agg(F.max("v").alias("v"))))
 
-    short = run()
-    monkeypatch.setattr(rel, "BROADCAST_KEYS", 0)
-    assert run() == short == [(1, 995), (3, 997)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        assert run() == [(1, 995), (2, 999), (3, 997)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_band_edges(spark):
