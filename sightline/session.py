@@ -57,8 +57,8 @@ def clear_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back.
+def materialise(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back; ``compression`` is Parquet's, by default the session's.
 
     Used where one result feeds several consumers. Unlike a cache the table
     outlives lost executors, ends the lineage, and has a known size, so later
@@ -66,5 +66,5 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_app_scratch(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
