@@ -35,6 +35,7 @@ from sightline.session import materialise
 STRIDE = 256
 PER_SHARD = 4096
 MAGIC = 0x53484152445F3031
+COMPRESSION = "zstd"  # ids repeat as symbols, not as strings: 77 MB where snappy takes 104
 _HEADER = np.dtype("<u8")
 
 
@@ -73,7 +74,7 @@ def ordered(documents: DataFrame, key: int = 1, path: str | None = None, stride:
     cut = base.mapInArrow(_cut(path or vocabulary_path(), stride),
                           "doc_id long, h long, start long, length int, ids binary")
     cut = materialise(cut.withColumn("part", F.spark_partition_id()).withColumn(
-        "place", F.expr("monotonically_increasing_id() & ((1L << 33) - 1)")), "sequences")
+        "place", F.expr("monotonically_increasing_id() & ((1L << 33) - 1)")), "sequences", COMPRESSION)
     # one row for each file part
     parts = cut.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
     base_of, total = [], 0
@@ -129,8 +130,8 @@ def write_shards(
     files = rows.repartitionByRange(n, "shard").sortWithinPartitions("slot").select("slot", "length", "ids").mapInArrow(
         _files(stride, per_shard), "shard long, n_sequences long, first_slot long, n_tokens long, crc32 long, data binary")
     if to is None:
-        return materialise(files, "shards")
-    files.write.parquet(to)
+        return materialise(files, "shards", COMPRESSION)
+    files.write.parquet(to, compression=COMPRESSION)
     return spark.read.schema(files.schema).parquet(to)
 
 
