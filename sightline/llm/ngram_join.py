@@ -18,9 +18,11 @@ order-free 64-bit hash of the set. Everything after works on classes.
    each class tries the ``LEADERS`` it shares most with.
 4. Last round: the prefix join proper, between classes that are not connected yet.
    Length, positional and suffix filters are part of the join condition. The suffix
-   filter cuts both sets into the same ``PARTS`` by hash, as the recursive one does; parts
+   filter cuts both sets into the same parts by hash, as the recursive one does; parts
    whose sizes differ in parity hold an n-gram of one set only, so their number bounds the
-   difference from below. Pairs verified before are left out. A pair whose ends are already
+   difference from below. A set has at least half as many parts as n-grams (``parts_of``),
+   for fewer would say nothing; of two sets the larger one's parts are merged to the
+   smaller one's. Pairs verified before are left out. A pair whose ends are already
    connected cannot change the result, so a group never spreads into all its pairs.
 5. Verified pairs give the components.
 
@@ -42,8 +44,7 @@ from sightline.llm.words import batch_chunks, gram_hashes, hash_words, mix
 from sightline.session import materialise
 
 BUCKETS = 1 << 16
-PARTS = 512
-_SIGNS = [f"s{i}" for i in range(PARTS // 64)]
+LEAST_PARTS, MOST_PARTS = 512, 8192
 REMEMBERED = 200_000
 MORE_ROUNDS, LEADERS = 2, 3
 _A, _B = np.uint64(0xD1342543DE82EF95), np.uint64(0xF1357AEA2E62A9C5)
@@ -79,8 +80,31 @@ def set_hashes(owner: np.ndarray, gram: np.ndarray, n_texts: int) -> tuple[np.nd
     return mix(sums + size.astype(np.uint64)).view(np.int64), size
 
 
+def parts_of(size: np.ndarray) -> np.ndarray:
+    """Parts of sets of these sizes: powers of two."""
+    half = np.clip((size + 1) // 2, LEAST_PARTS, MOST_PARTS)
+    return np.int64(1) << np.ceil(np.log2(half)).astype(np.int64)
+
+
+def parities(owner: np.ndarray, gram: np.ndarray, size: np.ndarray) -> pa.ListArray:
+    """For each set, one bit for each of its parts: whether it holds an odd number of n-grams."""
+    parts = parts_of(size)
+    first = np.concatenate(([0], np.cumsum(parts)))
+    cell = first[owner] + ((gram >> np.uint64(20)).astype(np.int64) & (parts[owner] - 1))
+    odd = np.bincount(cell, minlength=first[-1]) & 1
+    words = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array((first // 64).astype(np.int32)), pa.array(words))
+
+
+def fewest_unlike(x: str, y: str) -> str:
+    """SQL: a lower bound of the n-grams only one of two sets has, from their parities; x is not larger than y."""
+    merged = f"if(size({y}) > size({x}), {y}[i + size({x})], 0L)"
+    each = f"transform({x}, (v, i) -> bit_count(v ^ {y}[i] ^ {merged}))"
+    return f"if(size({y}) > 2 * size({x}), 0, aggregate({each}, 0, (s, v) -> s + v))"
+
+
 def _classes(n: int):
-    names = ["doc_id", "h", "n_shingles", "sid", *_SIGNS, "bucket", "times"]
+    names = ["doc_id", "h", "n_shingles", "sid", "odd", "bucket", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
@@ -89,17 +113,14 @@ def _classes(n: int):
                 owner, gram = gram_sets(texts, n)
                 sid, size = set_hashes(owner, gram, len(texts))
                 counts += np.bincount((gram >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
-                cell = owner * PARTS + ((gram >> np.uint64(20)) % np.uint64(PARTS)).astype(np.int64)
-                odd = (np.bincount(cell, minlength=len(texts) * PARTS) & 1).astype(np.uint8).reshape(-1, PARTS)
-                signs = np.packbits(odd, axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("h"), pa.array(size), pa.array(sid, mask=size == 0),
-                     *(pa.array(np.ascontiguousarray(c)) for c in signs.T),
-                     pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.int64())], names)
+                     parities(owner, gram, size), pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.int64())],
+                    names)
         at = np.flatnonzero(counts)
         none = pa.nulls(len(at), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none] * (4 + len(_SIGNS)) + [pa.array(at.astype(np.int32)), pa.array(counts[at])], names)
+            [none] * 4 + [pa.nulls(len(at), pa.list_(pa.int64())), pa.array(at.astype(np.int32)), pa.array(counts[at])], names)
 
     return run
 
@@ -192,8 +213,7 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
     """(documents with n_shingles and sid, links between classes (a, b)); ``base`` has doc_id, h, text."""
     spark = base.sparkSession
     told = materialise(base.mapInArrow(
-        _classes(n), f"doc_id long, h long, n_shingles long, sid long, {', '.join(c + ' long' for c in _SIGNS)}, "
-        "bucket int, times long"), "gram-sets")
+        _classes(n), "doc_id long, h long, n_shingles long, sid long, odd array<bigint>, bucket int, times long"), "gram-sets")
     documents = told.filter("bucket is null").drop("bucket", "times")
     counts = np.zeros(BUCKETS, np.int64)
     for bucket, times in told.filter("bucket is not null").groupBy("bucket").agg(F.sum("times")).collect():
@@ -220,7 +240,7 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
     first = materialise(first, "leader-pairs")
     classes = materialise(
         documents.filter("sid is not null").groupBy("sid").agg(
-            F.min(F.struct("doc_id", "h")).alias("at"), *(F.first(c).alias(c) for c in _SIGNS)), "classes")
+            F.min(F.struct("doc_id", "h")).alias("at"), F.first("odd").alias("odd")), "classes")
     # only classes that some n-gram brings to another one are ever verified
     at = shared.filter("sid <> l_sid").select(F.explode(F.array("sid", "l_sid")).alias("sid")).distinct()
     wanted = at.join(classes, "sid").select("sid", "at.doc_id", "at.h")
@@ -257,12 +277,11 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
         )
         links = materialise(links.unionByName(verify(materialise(near, "leader-pairs"), texts, n, percent)), "leader-links")
     apart = apart_now(apart)
-    apart = apart.join(classes.select("sid", *_SIGNS), "sid")
-    x, y = apart.alias("x"), apart.alias("y")
-    unlike = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in _SIGNS)
-    second = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & F.expr(
-        f"(x.size < y.size or x.size = y.size and x.sid < y.sid) and {allowed('x.', 'y.')} and "
-        f"{100 + percent} * ({unlike}) <= {100 - percent} * (x.size + y.size)"))
+    apart = apart.join(classes.select("sid", "odd"), "sid")
+    second = apart.alias("x").join(apart.alias("y"), F.expr(
+        f"x.gram = y.gram and x.component <> y.component and (x.size < y.size or x.size = y.size and x.sid < y.sid) and "
+        f"{allowed('x.', 'y.')} and "
+        f"{100 + percent} * {fewest_unlike('x.odd', 'y.odd')} <= {100 - percent} * (x.size + y.size)"))
     second = second.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
     second = second.join(links.select("a", "b"), ["a", "b"], "left_anti")
     more = verify(materialise(second, "prefix-pairs"), texts, n, percent)

@@ -107,7 +107,41 @@ def test_ngram_join(frame, n, percent):
     assert len({c for _, c in want.values()}) < len(want)
     kept = ngram_join.one_of_each(frame(rows), n, percent)
     assert kept.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in want.values()})
+    wordless = [i for i, t in rows if not words_of(t)]  # all of them stay, repeated rows too
+    assert sorted(r.doc_id for r in kept.collect()) == sorted([*wordless, *({c for _, c in want.values()} - set(wordless))])
+
+
+def test_parities_bound_the_difference_and_tell_unrelated_long_texts(spark):
+    r = np.random.default_rng(3)
+    rows = []
+    for size, changed in [(3, 1), (40, 5), (700, 60), (1030, 10), (2047, 30), (2050, 300), (9000, 700), (6000, 6000), (18000, 18000)]:
+        x = r.integers(0, 2**63, size, dtype=np.uint64)
+        y = np.concatenate((x[changed:], r.integers(0, 2**63, changed + size // 20, dtype=np.uint64)))
+        sizes = np.array([len(x), len(y)])
+        odd = ngram_join.parities(np.repeat([0, 1], sizes), np.concatenate((x, y)), sizes).to_pylist()
+        rows.append((*odd, len(np.setxor1d(x, y)), size, changed))
+    told = spark.createDataFrame(rows, "x array<bigint>, y array<bigint>, unlike int, size int, changed int").selectExpr(
+        "*", ngram_join.fewest_unlike("x", "y") + " as low", "size(x) < size(y) as merged").collect()
+    assert any(t.merged for t in told)
+    for t in told:
+        assert t.low <= t.unlike
+        if t.size == t.changed:  # nothing in common: known without the texts
+            assert 185 * t.low > 15 * (2 * t.size + t.size // 20)
+
+
+def test_ngram_join_long_texts(frame):
+    """Texts whose parts differ in number, and long texts with nothing but a passage in common."""
+    r = random.Random(8)
+    long = [[f"w{r.randrange(10**6)}" for _ in range(size)] for size in (1000, 1020, 2040, 5000, 5000)]
+    passage = [f"p{i}" for i in range(400)]
+    rows = []
+    for i, words in enumerate(long):
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(words + words[:40])),
+                 (10 * i + 2, " ".join(words + [f"n{i} {j}" for j in range(len(words) // 25)])),
+                 (10 * i + 3, " ".join(words[len(words) // 2:] + passage))]
+    got = {x.doc_id: x.component_id for x in ngram_join.join_similar(frame(rows)).collect()}
+    assert got == {i: c for i, (_, c) in components_of(rows, 4, 85).items()}
+    assert got[42] == got[41] == 40 and got[43] == 43
 
 
 def test_ngram_join_null_ids_and_empty_table(frame):
