@@ -22,7 +22,9 @@ order-free 64-bit hash of the set. Everything after works on classes.
    whose sizes differ in parity hold an n-gram of one set only, so their number bounds the
    difference from below. A set has at least half as many parts as n-grams (``parts_of``),
    for fewer would say nothing; of two sets the larger one's parts are merged to the
-   smaller one's. Pairs verified before are left out. A pair whose ends are already
+   smaller one's. A pair is not made at an n-gram if an earlier one, among the first
+   ``HEAD`` of both, makes it already; the filters must pass at a pair's first common
+   n-gram, so none is lost. Pairs verified before are left out. A pair whose ends are already
    connected cannot change the result, so a group never spreads into all its pairs.
 5. Verified pairs give the components.
 
@@ -46,7 +48,7 @@ from sightline.session import materialise
 BUCKETS = 1 << 16
 LEAST_PARTS, MOST_PARTS = 512, 8192
 REMEMBERED = 200_000
-MORE_ROUNDS, LEADERS = 2, 3
+MORE_ROUNDS, LEADERS, HEAD = 2, 3, 8
 _A, _B = np.uint64(0xD1342543DE82EF95), np.uint64(0xF1357AEA2E62A9C5)
 
 
@@ -176,6 +178,9 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = [np.concatenate((x, y)) for x, y in zip(held, columns, strict=True)]
         if not len(columns[0]):
             continue
+        fresh = np.ones(len(columns[0]), bool)  # copies of one class come from several tasks
+        fresh[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+        columns = [x[fresh] for x in columns]
         held = [x[-1:] for x in columns]  # what follows it is not known yet
         if (out := rows(columns[0][:-1], [x[:-1] for x in columns[1:]], columns[0][-1])) is not None:
             yield out
@@ -277,11 +282,14 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
         )
         links = materialise(links.unionByName(verify(materialise(near, "leader-pairs"), texts, n, percent)), "leader-links")
     apart = apart_now(apart)
-    apart = apart.join(classes.select("sid", "odd"), "sid")
+    heads = apart.groupBy("sid").agg(F.expr(f"slice(sort_array(collect_list(struct(place, gram))), 1, {HEAD})").alias("head"))
+    before = F.expr("transform(filter(head, g -> g.place < place), g -> g.gram)").alias("before")
+    apart = apart.join(classes.select("sid", "odd"), "sid").join(heads, "sid").select(*apart.columns, "odd", before)
     second = apart.alias("x").join(apart.alias("y"), F.expr(
         f"x.gram = y.gram and x.component <> y.component and (x.size < y.size or x.size = y.size and x.sid < y.sid) and "
         f"{allowed('x.', 'y.')} and "
-        f"{100 + percent} * {fewest_unlike('x.odd', 'y.odd')} <= {100 - percent} * (x.size + y.size)"))
+        f"{100 + percent} * {fewest_unlike('x.odd', 'y.odd')} <= {100 - percent} * (x.size + y.size) and "
+        "not arrays_overlap(x.before, y.before)"))
     second = second.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
     second = second.join(links.select("a", "b"), ["a", "b"], "left_anti")
     more = verify(materialise(second, "prefix-pairs"), texts, n, percent)
