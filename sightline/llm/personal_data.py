@@ -2,14 +2,19 @@
 
 The patterns give the base spans. Tokens (runs without white space) that hold a digit or
 an ``@`` are the variables of the field; any other token is surely none of the kinds. A
-token in a base span has its label fixed. Neighbouring tokens share a potential, and so
-do tokens of a document that repeat or resemble an earlier one: the same letters and
-digits, or the same last seven digits. Each is tied to the one before it, so a token
-repeated many times makes a chain, not all pairs. Loopy message passing carries labels
-along these ties; a free token whose label is then likelier than not becomes a span too.
-Base spans always stay.
-
-The potentials are fitted by pseudo-likelihood, with the base labels, on at most
+token in a base span has its label fixed. Neighbouring tokens share a potential. Tokens of
+a document that repeat or resemble each other are tied to one shared label variable, a
+star, so any number of repeats costs a tie each and is one tie away from the base span.
+They share the same letters and digits, or the same last seven digits; tokens in a row
+also share the letters and digits of the row, at least ``TELLS`` of them, so a number
+written in pieces is tied as a whole. A base span fixes the shared label if it is told by a
+whole value or at least ``TELLS`` letters and digits; a shorter piece, like a country code,
+only speaks for it. Loopy message passing goes on in each text until its messages stop
+changing; a free token whose label is then likelier than not becomes a span too. Base spans
+always stay.
+
+The potentials are fitted by pseudo-likelihood, with the base labels (a free token tied to
+a base span is not labelled), on at most
 ``TRAIN_ROWS`` documents in order of a hash, ``TRAIN_CHARS`` characters each; the weights
 are pulled to the start values below. Every text is searched whole, in linear time.
 
@@ -39,7 +44,9 @@ _TOKEN_END = re.compile(r"\s|$")
 _NOT_KEY = re.compile(r"[^0-9a-z]+")
 _CORE = re.compile(r"[+(]?[A-Za-z0-9](?:.*[A-Za-z0-9)])?", re.S)
 _FEATURES = 12
-_ROUNDS = 15
+TELLS = 6
+_STILL = 1e-6
+_ROUNDS = 10_000  # only against messages that swing for ever
 Span = tuple[int, int, int]  # kind, first character, character after
 
 
@@ -98,7 +105,9 @@ class Tokens:
     label: np.ndarray  # 1 + kind where a base span fixes it, else 0
     fixed: np.ndarray
     near: np.ndarray  # pairs of neighbours
-    alike: np.ndarray  # pairs that repeat or resemble each other
+    alike: np.ndarray  # pairs of a token and the shared label it is tied to
+    rows: np.ndarray  # the same for tokens in a row
+    shared: np.ndarray  # shared labels: how often base spans fix it, by label
 
 
 def _features(word: str, digits: str) -> list[float]:
@@ -108,12 +117,21 @@ def _features(word: str, digits: str) -> list[float]:
 
 
 def tokens_of(texts: list[str], spans: list[list[Span]]) -> Tokens:
-    text, span, x, label, near, alike = [], [], [], [], [], []
+    text, span, x, label, near, alike, rows, shared = [], [], [], [], [], [], [], []
+
+    def tie(ties: list[tuple[int, int]], met: dict[str, int], key: str, members: list[int], told: int) -> None:
+        hub = met.setdefault(key, len(shared))
+        if hub == len(shared):
+            shared.append([0] * 5)
+        shared[hub][told] += told > 0
+        ties.extend((m, hub) for m in members)
+
     for i, (t, own) in enumerate(zip(texts, spans, strict=True)):
         places = sorted([m.start() for m in _DIGITS.finditer(t)] + [k for k, c in enumerate(t) if c == "@"] if "@" in t
                         else [m.start() for m in _DIGITS.finditer(t)])
         covered = sorted((a, b, k) for k, a, b in own)
         met: dict[str, int] = {}
+        row: list[tuple[int, str, Span | None]] = []  # this token and those right before it: number, key, base span
         end = c = 0
         for place in places:
             if place < end:
@@ -126,20 +144,31 @@ def tokens_of(texts: list[str], spans: list[list[Span]]) -> Tokens:
             digits = "".join(_DIGITS.findall(word))
             while c < len(covered) and covered[c][1] <= begin:
                 c += 1
-            hit = next((k for a, b, k in covered[c: c + 4] if a < end and b > begin), None)
-            me = len(text)
+            hit = next(((a, b, k) for a, b, k in covered[c: c + 4] if a < end and b > begin), None)
+            me, own = len(text), 0 if hit is None else 1 + hit[2]
+            key = _NOT_KEY.sub("", word.lower())
             if me and text[-1] == i and t[before:begin].isspace():
                 near.append((me - 1, me))
-            for key in {_NOT_KEY.sub("", word.lower()), "-" + digits[-7:] if len(digits) >= 7 else ""} - {""}:
-                if key in met and met[key] != me:
-                    alike.append((met[key], me))
-                met[key] = me
+            else:
+                row = []
+            whole = hit is not None and begin <= hit[0] and hit[1] <= end
+            if key:
+                tie(alike, met, key, [me], own if whole or len(key) >= TELLS else 0)
+            if len(digits) >= 7:
+                tie(alike, met, "-" + digits[-7:], [me], own)
+            row = [*row[1 - TELLS:], (me, key, hit)] if key else []
+            for n in range(2, len(row) + 1):
+                if sum(len(k) for _, k, _ in row[-n:]) >= TELLS:
+                    tie(rows, met, " ".join(k for _, k, _ in row[-n:]), [m for m, _, _ in row[-n:]],
+                        own if all(h == hit for _, _, h in row[-n:]) else 0)
+                    break
             text.append(i)
             span.append((begin, end))
             x.append(_features(word, digits))
-            label.append(0 if hit is None else 1 + hit)
+            label.append(own)
+    rows = [(m, hub) for m, hub in rows if any(shared[hub])]  # a row that no base span tells is no tie among its own tokens
     return Tokens(text, span, np.array(x, float).reshape(-1, _FEATURES), np.array(label, int), np.array(label, int) > 0,
-                  np.array(near, int).reshape(-1, 2), np.array(alike, int).reshape(-1, 2))
+                  np.array(near, int).reshape(-1, 2), np.array(alike, int).reshape(-1, 2), np.array(rows, int).reshape(-1, 2), np.array(shared, float).reshape(-1, 5))
 
 
 @dataclass
@@ -157,22 +186,36 @@ def start_field() -> Field:
 
 
 def fit(tokens: Tokens, steps: int = 200, pull: float = 0.01) -> Field:
-    """Pseudo-likelihood: each label given its neighbours' and its tied tokens' labels."""
-    field, n = start_field(), len(tokens.label)
+    """Pseudo-likelihood: each label given its neighbours' labels and those of the others tied to what it is tied to.
+
+    Ties of rows are left out, as they would tell a token of its own row's labels, which its neighbours do.
+    """
+    field = start_field()
+    member, hub = tokens.alike.T
+    y = np.eye(5)[tokens.label]
+    told = np.zeros((len(tokens.shared), 5))
+    np.add.at(told, hub, y[member])
+    others = told[hub] - y[member]
+    unknown = ~tokens.fixed & (np.bincount(member, told[hub, 1:].sum(1) > 0, len(y)) > 0)
+    unknown[tokens.rows[:, 0]] = ~tokens.fixed[tokens.rows[:, 0]]
+    y[unknown] = 0
+    n = int((~unknown).sum())
     if not n:
         return field
-    y = np.eye(5)[tokens.label]
-    sides = []
-    for pairs in (tokens.near, tokens.alike):
-        around = np.zeros((n, 5))
-        np.add.at(around, pairs[:, 0], y[pairs[:, 1]])
-        np.add.at(around, pairs[:, 1], y[pairs[:, 0]])
-        sides.append(around)
+    personal = others[:, 1:].sum(1)
+    others[(personal > 0) | tokens.fixed[member], 0] = 0
+    others /= np.maximum(others.sum(1, keepdims=True), 1)
+    tied = np.zeros_like(y)
+    np.add.at(tied, member, others)
+    around = np.zeros_like(y)
+    np.add.at(around, tokens.near[:, 0], y[tokens.near[:, 1]])
+    np.add.at(around, tokens.near[:, 1], y[tokens.near[:, 0]])
+    sides = (around, tied)
     start = (field.own.copy(), field.near.copy(), field.alike.copy())
     for _ in range(steps):
         score = tokens.x @ field.own.T + sides[0] @ field.near + sides[1] @ field.alike
         p = np.exp(score - score.max(1, keepdims=True))
-        gap = (y - p / p.sum(1, keepdims=True)) / n
+        gap = (y - p / p.sum(1, keepdims=True)) * ~unknown[:, None] / n
         field.own += 0.5 * (gap.T @ tokens.x - pull * (field.own - start[0]))
         for k, name in enumerate(("near", "alike")):
             step = sides[k].T @ gap
@@ -182,26 +225,38 @@ def fit(tokens: Tokens, steps: int = 200, pull: float = 0.01) -> Field:
 
 
 def marginals(tokens: Tokens, field: Field, rounds: int = _ROUNDS) -> np.ndarray:
-    """Loopy sum-product over all tokens at once; texts do not touch each other."""
-    own = tokens.x @ field.own.T
-    own[tokens.fixed] = -1e6
-    own[tokens.fixed, tokens.label[tokens.fixed]] = 0
-    pairs = np.concatenate((tokens.near, tokens.near[:, ::-1], tokens.alike, tokens.alike[:, ::-1]))
-    kind = np.repeat([0, 1], [2 * len(tokens.near), 2 * len(tokens.alike)])
-    back = np.concatenate((np.arange(len(tokens.near)) + len(tokens.near), np.arange(len(tokens.near)),
-                           np.arange(len(tokens.alike)) + 2 * len(tokens.near) + len(tokens.alike),
-                           np.arange(len(tokens.alike)) + 2 * len(tokens.near)))
-    bonds, sent = np.stack((field.near, field.alike))[kind], np.zeros((len(pairs), 5))
-    for _ in range(rounds if len(pairs) else 0):
+    """Loopy sum-product over all tokens at once; each text goes on until its own messages stand still."""
+    n, seen = len(tokens.label), tokens.shared.sum(1)
+    own = np.concatenate((tokens.x @ field.own.T, np.zeros((len(seen), 5))))
+    fixed = np.concatenate((tokens.fixed, seen > 0))
+    own[:n][tokens.fixed] = -1e6
+    own[:n][tokens.fixed, tokens.label[tokens.fixed]] = 0
+    share = tokens.shared[seen > 0] / seen[seen > 0, None]
+    own[n:][seen > 0] = np.where(share > 0, np.log(np.maximum(share, 1e-300)), -1e6)
+    ties = np.concatenate((tokens.near, tokens.alike + [0, n], tokens.rows + [0, n]))
+    pairs = np.concatenate((ties, ties[:, ::-1]))
+    kind = np.tile(np.repeat([0, 1], [len(tokens.near), len(tokens.alike) + len(tokens.rows)]), 2)
+    back = np.roll(np.arange(len(pairs)), len(ties))
+    text = np.tile(np.array(tokens.text, int)[ties[:, 0]], 2)
+    bonds, sent = np.stack((field.near, field.alike)), np.zeros((len(pairs), 5))
+    live = np.arange(len(pairs))
+    for _ in range(rounds):
+        if not len(live):
+            break
         belief = own.copy()
-        np.add.at(belief, pairs[:, 1], sent)
-        told = (belief[pairs[:, 0]] - sent[back])[:, :, None] + bonds
+        np.add.at(belief, pairs[live, 1], sent[live])
+        source = pairs[live, 0]
+        told = np.where(fixed[source, None], own[source], belief[source] - sent[back[live]])[:, :, None] + bonds[kind[live]]
         top = told.max(1, keepdims=True)
         new = (top + np.log(np.exp(told - top).sum(1, keepdims=True)))[:, 0]
         new -= new.max(1, keepdims=True)
-        sent = 0.5 * sent + 0.5 * new
+        change = np.zeros(text.max() + 1)
+        np.maximum.at(change, text[live], np.abs(new - sent[live]).max(1))
+        sent[live] = 0.5 * sent[live] + 0.5 * new
+        live = live[change[text[live]] > _STILL]
     belief = own
     np.add.at(belief, pairs[:, 1], sent)
+    belief = belief[:n]
     p = np.exp(belief - belief.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 

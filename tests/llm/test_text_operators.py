@@ -226,6 +226,25 @@ def test_repeated_label_reaches_a_token_far_away():
     assert personal_data.find([text], field)[0][1] == base
 
 
+@pytest.mark.parametrize("repeats", [2, 5, 50])
+def test_every_repeat_of_a_number_is_found_with_the_trained_field(frame, repeats):
+    rows = [(i, f"call +49 30 {1000000 + 7919 * i} or a{i}@b.co, {i} of {i % 7} and 10{i}") for i in range(300)]
+    field = personal_data.train(frame(rows))
+    for base, again in (("+49 30 1234567", "1234567"), ("+1 (017) 555 7713", "(017) 555 7713"), ("+1 (826) 555-4081", "(826) 555-4081")):
+        text = base + f" word {again} word" * repeats
+        (own, every), = personal_data.find([text], field)
+        assert [text[a:b] for _, a, b in own] == [base]
+        assert [(k, text[a:b]) for k, a, b in every] == [(3, base)] + [(3, again)] * repeats
+    alone = "+49 30 1234567" + " word 30 word" * repeats  # a piece of a number is no repeat of it
+    assert len(personal_data.find([alone], field)[0][1]) <= 1 + (repeats == 1)
+
+
+def test_messages_settle_alike_whatever_texts_come_with_a_text():
+    texts = ["+49 30 1234567 and " + "1234567 x " * 40, "1 2 3 4 5 6 7 8 9 " * 200, "a@b.co 12 a@b.co"]
+    together = personal_data.find(texts, personal_data.start_field())
+    assert together == [personal_data.find([t], personal_data.start_field())[0] for t in texts]
+
+
 def test_line_quality(frame, spark):
     r = random.Random(4)
     good = ["\n".join(" ".join(r.choices(["the", "house", "stands", "near", "water", "and", "trees"], k=9)) + "." for _ in range(5))
