@@ -6,7 +6,8 @@
    indexed.
 3. How many cells to visit is measured on the sample: from each vector, to a random
    vector just at the threshold and to its true neighbours in the sample, the place of
-   the other's cell in the multi-sequence order; ``RECALL`` of these must be met.
+   the other's cell in the multi-sequence order; ``RECALL`` of these must be met, by all
+   cells of the grid if need be, which is then exact.
 4. Cells are put together to blocks of about ``BLOCK`` members; a larger cell is spread
    over several. A class goes to the blocks of the cells nearest to it: the multi-sequence
    order, smallest sums of the distances of both halves.
@@ -36,6 +37,7 @@ SAMPLE = 10_000
 RECALL = 0.98
 BLOCK = 4096
 _ROWS = 512
+_CELLS = 1 << 20  # sums of distances at once
 
 
 def codebook(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -67,32 +69,38 @@ def nearest_cells(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], n: int) -
         order = np.argsort(d, axis=1, kind="stable")[:, :n]
         near.append((order, np.take_along_axis(d, order, 1)))
     (first, d1), (second, d2) = near
-    ranks = np.array([(i, j) for i in range(first.shape[1]) for j in range(second.shape[1]) if (i + 1) * (j + 1) <= n])
+    ranks = np.argwhere(np.outer(np.arange(1, first.shape[1] + 1), np.arange(1, second.shape[1] + 1)) <= n)
     sums = d1[:, ranks[:, 0]] + d2[:, ranks[:, 1]]
     best = np.argsort(sums, axis=1, kind="stable")[:, :n]
     return np.take_along_axis(first[:, ranks[:, 0]] * len(books[1]) + second[:, ranks[:, 1]], best, 1)
 
 
+def cell_places(a: np.ndarray, b: np.ndarray, books: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """At which place, from 0, each row of ``a`` meets the nearest cell of that row of ``b``; the last place of equal distances."""
+    half, rows = a.shape[1] // 2, max(1, _CELLS // (len(books[0]) * len(books[1])))
+    out = []
+    for at in range(0, len(a), rows):
+        x, y = a[at: at + rows], b[at: at + rows]
+        d1, d2 = distances(x[:, :half], books[0]), distances(x[:, half:], books[1])
+        i, j = np.divmod(nearest_cells(y, books, 1), len(books[1]))
+        sums = np.take_along_axis(d1, i, 1) + np.take_along_axis(d2, j, 1)
+        out.append((d1[:, :, None] + d2[:, None, :] <= sums[:, :, None]).sum((1, 2)) - 1)
+    return np.concatenate(out)
+
+
 def cells_to_visit(x: np.ndarray, books: tuple, threshold: float, recall: float, rng: np.random.Generator) -> int:
-    """Smallest number of cells, up to half of the grid, that meets ``recall`` on the sample."""
-    most = max(1, len(books[0]) * len(books[1]) // 2)
+    """Smallest number of cells, up to the whole grid, that meets ``recall`` on the sample."""
     at = rng.permutation(len(x))[:1000]
     aside = rng.standard_normal((len(at), x.shape[1]))
     aside -= (aside * x[at]).sum(1)[:, None] * x[at]
     aside /= np.maximum(np.linalg.norm(aside, axis=1), 1e-12)[:, None]
     pairs = [(x[at], threshold * x[at] + np.sqrt(1 - threshold**2) * aside)]
     near = x[at] @ x.T >= threshold
+    near[np.arange(len(at)), at] = False
     i, j = np.nonzero(near)
     pick = rng.permutation(len(i))[:4000]
     pairs.append((x[at][i[pick]], x[j[pick]]))
-    need = 1
-    for a, b in pairs:
-        if len(a):
-            visited = nearest_cells(a, books, most)
-            place = (visited == nearest_cells(b, books, 1)).argmax(1)
-            place[(visited != nearest_cells(b, books, 1)).all(1)] = visited.shape[1] - 1
-            need = max(need, 1 + int(np.quantile(place, recall)))
-    return need
+    return max(1 + int(np.quantile(cell_places(a, b, books), recall, method="higher")) for a, b in pairs if len(a))
 
 
 def _unit(raw: list[bytes], dtype: str, width: int) -> np.ndarray:
@@ -117,8 +125,11 @@ def _index(shared, dtype: str, width: int):
             if not batch.num_rows:
                 continue
             raw = _vectors(batch, dtype)
-            cells = np.concatenate([nearest_cells(_unit(raw[i: i + _ROWS], dtype, width), books, n)
-                                    for i in range(0, len(raw), _ROWS)])
+            # with the whole grid to visit, the nearest cell is all that is kept
+            whole = n >= len(books[0]) * len(books[1])
+            rows = min(_ROWS, max(1, _CELLS // n))
+            cells = np.concatenate([nearest_cells(_unit(raw[i: i + rows], dtype, width), books, 1 if whole else n)
+                                    for i in range(0, len(raw), rows)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("sid"), batch.column("times"), pa.array([len(v) for v in raw], pa.int32()), pa.array(raw, pa.binary()),
                  pa.array(cells[:, 0].astype(np.int32)), pa.array(cells.astype(np.int32).tolist(), pa.list_(pa.int32()))],
@@ -127,18 +138,19 @@ def _index(shared, dtype: str, width: int):
     return run
 
 
-def _deal(shared):
+def _deal(shared, whole: bool):
     """Second pass: one row as member of its block and one for every block it visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, spread = shared.value
+        every = list(range(int((first + spread).max()))) if whole else []
         for batch in batches:
             row, block, visits, homes, targets = [], [], [], [], []
             sids = batch.column("sid").to_pylist()
             for i, (sid, cell, cells) in enumerate(zip(
                     sids, batch.column("cell").to_pylist(), batch.column("cells").to_pylist(), strict=True)):
                 home = int(first[cell]) + sid % int(spread[cell])
-                to = sorted({int(first[c]) + s for c in cells for s in range(int(spread[c]))})
+                to = every if whole else sorted({int(first[c]) + s for c in cells for s in range(int(spread[c]))})
                 for b, v in [(home, False), *((t, True) for t in to)]:
                     row.append(i)
                     block.append(b)
@@ -270,7 +282,7 @@ def link_vectors(
         else:
             room -= n
     grid = spark.sparkContext.broadcast((first, spread))
-    dealt = indexed.mapInArrow(_deal(grid), "block int, visits boolean, sid long, times long, size int, raw binary, home int, to array<int>")
+    dealt = indexed.mapInArrow(_deal(grid, visits >= len(held)), "block int, visits boolean, sid long, times long, size int, raw binary, home int, to array<int>")
     found = materialise(
         dealt.repartition(max(at + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "block")
         .sortWithinPartitions("block", "visits").mapInArrow(_compare(dtype, width, threshold), "a long, b long, n long"), "vector-links")

@@ -147,6 +147,32 @@ def test_vector_links(spark, kind):
     assert vector_links.link_vectors(empty).count() == 0
 
 
+@pytest.mark.parametrize(("n", "block"), [(2, 1), (5, 1), (10, 1), (5, 4096), (300, 16)])
+def test_vector_links_of_one_near_group(spark, n, block):
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal(16)
+    x = x / np.linalg.norm(x) + 0.075 * rng.standard_normal((n, 16))
+    got = vector_links.link_vectors(spark.createDataFrame(
+        [(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>"), block=block).collect()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.9).sum() - n
+    assert want and sum(r.n_links for r in got) >= vector_links.RECALL * want
+    assert n > 10 or sum(r.n_links for r in got) == want
+    assert {r.component_id for r in got} == {0}
+
+
+def test_cells_to_visit_may_be_the_whole_grid():
+    x = np.eye(4)[:2] * 0.4 + 1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = np.concatenate((x[:, :2], x[:, :2]), 1) / np.sqrt((x[:, :2] ** 2).sum(1, keepdims=True) * 2)
+    books = x[:, :2], x[:, 2:]
+    assert vector_links.cells_to_visit(x, books, 0.9, 0.98, np.random.default_rng(0)) == 4
+    visited = vector_links.nearest_cells(x, books, 4)
+    places = vector_links.cell_places(x, x[::-1], books)
+    own = vector_links.nearest_cells(x[::-1], books, 1)
+    assert [int(v[p]) for v, p in zip(visited, places, strict=True)] == own[:, 0].tolist()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 200)] + [(500, 501), (501, 500), (502, 502), (503, 500), (None, 4)]
     got = dict(graph.components(spark.createDataFrame(chain, "a long, b long")).collect())
