@@ -5,9 +5,11 @@
    over goes to the others by weight. The sizes of the sources, one number each, are all
    that the driver sees.
 2. The documents of a source are laid end to end, in an order by hash, and cut into
-   blocks of ``block_words``. Their places are running sums within parts of a source plus
+   blocks of ``block_words``, or of a ``FEWEST``-th of a small source. Their places are running sums within parts of a source plus
    the sums of the parts before, so a source with a third of all rows is no single task.
-3. A source has target / block_words slots. The output shards draw their counts of slots
+3. A source has all its blocks as slots for each time round that its target holds whole,
+   and the rest of the target / block_words. So a whole time round takes its exact words,
+   and the rest is met to one and a half blocks. The output shards draw their counts of slots
    per source from a multinomial over the slots not drawn yet; the last shard takes what
    is left, so the totals are exact.
 4. Slot t of a source takes block p(t mod blocks), where p is a keyed permutation, another
@@ -36,6 +38,7 @@ from sightline.session import materialise
 WEIGHTS = (3, 1, 2)
 WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 64
+FEWEST = 32
 SHARDS = 64
 PART_ROWS = 4_000
 _CHUNK = 1 << 18
@@ -111,7 +114,6 @@ class Mix:
         block_words: int = BLOCK_WORDS, shards: int = SHARDS,
     ) -> None:
         spark, self.documents = documents.sparkSession, documents
-        self.block_words, self.most = block_words, most
         sized = materialise(documents.select(
             F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
             F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size")), "sizes")
@@ -119,13 +121,13 @@ class Mix:
         found.sort(key=lambda r: (r.source is None, (r.source or "").encode()))
         sizes = [r["size"] for r in found]
         want = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], share * sum(sizes), most)
-        blocks = [-(-s // block_words) for s in sizes]
-        slots = [min(most * b, round(w / block_words)) for w, b in zip(want, blocks, strict=True)]
+        widths = [max(1, min(block_words, -(-s // FEWEST))) for s in sizes]
+        blocks = [-(-s // k) for s, k in zip(sizes, widths, strict=True)]
+        slots = [int(w // s) * b + min(b, round(w % s / k)) if s else 0 for w, s, b, k in zip(want, sizes, blocks, widths, strict=True)]
         parts = [1 + r["n"] // PART_ROWS for r in found]
         self.sources = spark.createDataFrame(
-            [(i, r.source, s, w, b, k, p) for i, (r, s, w, b, k, p) in enumerate(
-                zip(found, sizes, want, blocks, slots, parts, strict=True))],
-            "number int, source string, source_size long, target double, blocks long, slots long, parts int")
+            [(i, *r) for i, r in enumerate(zip([r.source for r in found], sizes, want, widths, blocks, slots, parts, strict=True))],
+            "number int, source string, source_size long, target double, width long, blocks long, slots long, parts int")
         counts = draw_counts(slots, shards, seed)
         begins = np.cumsum(counts, axis=0) - counts
         dealt = [(i, j, blocks[j], int(begins[i, j]) + at, min(_CHUNK, int(counts[i, j]) - at))
@@ -133,19 +135,19 @@ class Mix:
         self.slots = spark.createDataFrame(dealt, "shard int, number int, blocks long, begin long, n long").repartition(
             "shard", "number", "begin").mapInPandas(_slots(seed), "shard int, number int, turn long, block long")
 
-        numbered = sized.join(self.sources.select("number", "source", "parts"), sized["source"].eqNullSafe(self.sources["source"])).select(
-            "doc_id", "h", "size", "number", F.pmod(F.xxhash64("doc_id", "h"), F.col("parts")).cast("int").alias("part"))
+        numbered = sized.join(self.sources.select("number", "source", "width", "parts"), sized["source"].eqNullSafe(self.sources["source"])).select(
+            "doc_id", "h", "size", "number", "width", F.pmod(F.xxhash64("doc_id", "h"), F.col("parts")).cast("int").alias("part"))
         sums = numbered.groupBy("number", "part").agg(F.sum("size").alias("sum"))
         earlier = Window.partitionBy("number").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.select("number", "part", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("base"))
         within = Window.partitionBy("number", "part").orderBy("doc_id", "h").rowsBetween(Window.unboundedPreceding, -1)
         place = F.coalesce(F.sum("size").over(within), F.lit(0))
         self.placed = materialise(numbered.withColumn("begin", place).join(sums, ["number", "part"]).select(
-            "doc_id", "h", "number", "size", (F.col("begin") + F.col("base")).alias("begin")), "placed")
+            "doc_id", "h", "number", "width", "size", (F.col("begin") + F.col("base")).alias("begin")), "placed")
         self._pieces = self.placed.filter("size > 0").select("*", F.explode(F.expr(
-            f"sequence(begin div {block_words}, (begin + size - 1) div {block_words})")).alias("block")).withColumns({
-                "from": F.expr(f"greatest(0L, block * {block_words} - begin)"),
-                "to": F.expr(f"least(size, (block + 1) * {block_words} - begin)")})
+            "sequence(begin div width, (begin + size - 1) div width)")).alias("block")).withColumns({
+                "from": F.expr("greatest(0L, block * width - begin)"),
+                "to": F.expr("least(size, (block + 1) * width - begin)")})
 
     @property
     def taken(self) -> DataFrame:
@@ -153,7 +155,7 @@ class Mix:
         times = self.slots.groupBy("number", "block").agg(F.count("*").alias("times"))
         got = self._pieces.join(times, ["number", "block"], "left").groupBy("number", "begin", "doc_id", "h", "size").agg(
             F.sum(F.expr("(to - from) * coalesce(times, 0)")).alias("taken"))
-        none = self.placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
+        none = self.placed.filter("size = 0").drop("width").withColumn("taken", F.lit(0).cast("long"))
         return got.unionByName(none).join(self.sources, "number").select(
             "doc_id", "h", "size", "source", "source_size", "target", "taken")
 

@@ -202,6 +202,15 @@ def test_mix(frame):
     assert words == Counter({i: n for i in {i for i, _ in TEXTS} if (n := sum(r.taken for r in taken if r.doc_id == i))})
 
 
+def test_mix_of_tiny_sources_meets_its_targets(spark):
+    sizes = {"a": 15, "b": 33, "c": 1, "d": 70, "e": 500, "f": 4000}
+    frame = spark.createDataFrame([(i, s, "w " * n) for i, (s, n) in enumerate(sizes.items())], "doc_id long, source string, text string")
+    got = {r.source: r for r in mixing.Mix(frame, weights=(1,), share=1.5).taken.collect()}
+    assert {s: got[s].taken for s in "abcde"} == {s: 2 * sizes[s] for s in "abcde"}
+    for rows in (got, {r.source: r for r in mixing.Mix(frame, weights=(1, 2), share=0.6).taken.collect()}):
+        assert all(abs(r.taken - r.target) <= max(1, 0.05 * sizes[s]) for s, r in rows.items())
+
+
 def test_targets():
     assert mixing.targets([10, 10, 10], [3, 1, 2], 45, 2) == [20.0, 25 / 3, 50 / 3]
     assert mixing.targets([0, 100, 100], [3, 1, 2], 300, 2) == [0.0, 100.0, 200.0]
