@@ -1,42 +1,35 @@
 """Exact k nearest neighbours without comparing all pairs.
 
-Candidates are summarised in a tree of grid cells (count and bounding box per
-cell); a cell is split further only while it holds more than ``leaf_size``
-candidates. Every query walks down the tree level by level. At each level the
-cells in hand, taken by their farthest corner, show a distance within which k
-candidates must lie; cells whose nearest corner is beyond that (or beyond the
-radius) are dropped. Only the candidates of the leaves left are compared.
-
-Skew: candidates at one spot are first cut to the k lowest keys, which is exact
-because equal distances are ordered by key; queries at one spot are walked once;
-a leaf holds a bounded number of candidates; and the windows run per query over
-a bounded number of cells.
+Candidates are laid in a tree. A node with more than ``leaf_size`` candidates is split
+along its longer side at quantiles of its own candidates, so the tree follows the data:
+a far-off place and a dense town cost a level, not a depth limit. A quantile's own value
+makes a child for itself, so a node of several spots always falls apart; only candidates
+at one spot stay together, and those are cut to the k lowest keys first. Only the
+candidates of crowded nodes are touched again for the next level.
+
+Every query walks down the tree level by level. At each level the nodes in hand, taken by
+their farthest corner, show a distance within which k candidates must lie; nodes whose
+nearest corner is beyond that (or beyond the radius) are dropped. Only the candidates of
+the leaves left are compared. With a radius the roots are cells of its size, and a query
+starts from the cells around it.
+
+Skew: equal distances are ordered by key, so the cut per spot is exact; queries at one
+spot are walked once; a leaf holds a bounded number of candidates; and the windows run
+per query over a bounded number of nodes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.functions.geometry import axis_scales, square
+from sightline.functions.geometry import axes, cell_of, check_metric, chord, distance, slack, square
 from sightline.operators.relational import asc
 from sightline.session import materialise
 
-FANOUT = 4
-MAX_DEPTH = 9
-
-
-@dataclass(frozen=True)
-class Grid:
-    """Origin and size of the coarsest cells; ``around``: a query looks at 3 x 3 of them."""
-
-    x: float
-    y: float
-    root: float
-    around: bool
+QUANTILES = 16
 
 
 def knn_join(
@@ -56,8 +49,10 @@ def knn_join(
     Returns the columns of both sides except x and y, ``distance`` and ``rank``.
     Ties go to the lower candidate key. Several query rows of one key share one
     ranking. With ``exclude_self`` candidates of the query's own key are skipped;
-    as many extra candidates are looked up as one key has rows.
+    as many extra candidates are looked up as one key has rows. With ``metric``
+    "metres" x and y are lon and lat, and distances are great circles.
     """
+    check_metric(metric)
     located = candidates.filter("x is not null and y is not null")
     cand_cols = [n for n in candidates.columns if n not in ("x", "y")]
     ties = [asc(candidate_key), *[asc(n) for n in cand_cols if n != candidate_key]]
@@ -66,20 +61,12 @@ def knn_join(
         depth_k += located.groupBy(candidate_key).count().agg(F.max("count")).first()[0] or 0
     spot = Window.partitionBy("x", "y").orderBy(*ties)
     pts = located.withColumn("_at", F.row_number().over(spot)).filter(F.col("_at") <= depth_k).drop("_at")
-    pts = materialise(pts, "knn-candidates")
-
-    grid = _grid(pts, radius, metric)
-    cells = materialise(_cells(pts, grid), "knn-cells")
-    crowded = F.col("n") > leaf_size
-    deepest = cells.filter(crowded).agg(F.max("level")).first()[0]
-    depth = 0 if deepest is None else min(deepest + 1, MAX_DEPTH)
-    tree = _cell_tree(cells, crowded)
 
+    tree = Tree(pts, radius, metric, leaf_size)
     spots = queries.filter("x is not null and y is not null").select(
         F.col("x").alias("qx"), F.col("y").alias("qy")
     ).distinct()
-    leaves = _walk(spots, tree, depth, depth_k, grid, radius, metric)
-    found = _compare(leaves, pts, cand_cols, ties, depth, depth_k, grid, radius, metric)
+    found = _compare(tree, tree.walk(spots, depth_k), cand_cols, ties, depth_k, radius)
     q = queries.withColumnsRenamed({"x": "qx", "y": "qy"})
     joined = q.join(found, ["qx", "qy"]).drop("qx", "qy")
     if exclude_self:
@@ -88,120 +75,127 @@ def knn_join(
     return joined.withColumn("rank", F.row_number().over(per_query)).filter(F.col("rank") <= k)
 
 
-def _grid(pts: DataFrame, radius: float | None, metric: str) -> Grid:
-    """Cells of the radius if it is planar and smaller than the map; else one cell for all."""
-    box = pts.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
-    if box[0] is None:
-        return Grid(0.0, 0.0, 1.0, False)
-    extent = max(box[2] - box[0], box[3] - box[1], 1e-9) * 1.001
-    capped = radius is not None and metric == "planar" and 0 < radius < extent
-    return Grid(box[0], box[1], float(radius) if capped else extent, capped)
-
-
-def _indexes(x: str, y: str, grid: Grid, level: Column) -> tuple[Column, Column]:
-    per_root = F.pow(F.lit(float(FANOUT)), level)
-    return (
-        F.floor((F.col(x) - grid.x) / grid.root * per_root), F.floor((F.col(y) - grid.y) / grid.root * per_root)
-    )
-
-
-def _parent(name: str) -> Column:
-    return F.floor(F.col(name) / FANOUT)
-
-
-def _at_levels(pts: DataFrame, depth: int, grid: Grid) -> DataFrame:
-    ix, iy = _indexes("x", "y", grid, F.col("level"))
-    leveled = pts.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth))))
-    return leveled.withColumns({"ix": ix, "iy": iy})
+class Tree:
+    """Candidates (with x, y) in a tree of nodes; ``levels`` are its nodes, ``leaves`` the candidates with their leaf.
 
+    A node is known by its path. Every level is a written table of its own, so a join
+    with the few nodes near the root is planned as one with a small table.
+    """
 
-def _cells(pts: DataFrame, grid: Grid) -> DataFrame:
-    """Count and bounding box of the candidates in every cell of every level."""
-    return (
-        _at_levels(pts.select("x", "y"), MAX_DEPTH, grid)
-        .groupBy("level", "ix", "iy")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"),
+    def __init__(self, points: DataFrame, radius: float | None, metric: str, leaf_size: int) -> None:
+        self.metric, self.leaf_size = metric, leaf_size
+        self.dims = 2 if metric == "planar" else 3
+        # a little longer than the radius, so that rounding leaves no candidate out
+        self.reach = None if radius is None else chord(metric, radius) * (1 + 1e-9) + slack(metric)
+        self.around = self.reach is not None and self.reach > 0
+        places = axes(metric, F.col("x").cast("double"), F.col("y").cast("double"))
+        at = points.withColumns({f"_c{i}": c for i, c in enumerate(places)})
+        root = self._cell([F.col(f"_c{i}") for i in range(self.dims)]) if self.around else F.lit("")
+        at = materialise(at.withColumn("_node", root), "knn-candidates")
+        self.levels = [materialise(self._nodes(at), "knn-roots")]
+        parts = []
+        while True:
+            crowded = self.levels[-1].filter(self._crowded())
+            if crowded.isEmpty():
+                break
+            parts.append(at.join(crowded.select("_node"), "_node", "left_anti"))
+            at = materialise(self._split(at, crowded), "knn-split")
+            below = self._nodes(at.withColumn("_parent", F.regexp_replace("_node", "/[^/]*$", "")), "_parent")
+            self.levels.append(materialise(below, "knn-level"))
+        self.leaves = at
+        for part in parts:
+            self.leaves = self.leaves.unionByName(part)
+
+    def _cell(self, places: Sequence[Column], steps: Sequence[Column] | None = None) -> Column:
+        index = [cell_of(c, self.reach) for c in places]
+        if steps is not None:
+            index = [i + s for i, s in zip(index, steps, strict=True)]
+        return F.concat_ws(":", *[i.cast("string") for i in index])
+
+    def _nodes(self, at: DataFrame, *keys: str) -> DataFrame:
+        box = [f(f"_c{i}").alias(f"{n}{i}") for i in range(self.dims) for n, f in (("_low", F.min), ("_high", F.max))]
+        return at.groupBy("_node", *keys).agg(F.count(F.lit(1)).alias("_n"), *box)
+
+    def _sides(self) -> list[Column]:
+        return [F.col(f"_high{i}") - F.col(f"_low{i}") for i in range(self.dims)]
+
+    def _crowded(self) -> Column:
+        return (F.col("_n") > self.leaf_size) & (F.greatest(*self._sides()) > 0)
+
+    def _split(self, at: DataFrame, crowded: DataFrame) -> DataFrame:
+        """Candidates of the crowded nodes with their child: 2 i for the values between two quantiles, odd for a quantile's own."""
+        sides, value = self._sides(), F.col("_c0")
+        longest = F.greatest(*sides)
+        axis = F.lit(0)
+        for i in reversed(range(self.dims)):
+            axis = F.when(sides[i] == longest, i).otherwise(axis)
+        for i in range(1, self.dims):
+            value = F.when(F.col("_axis") == i, F.col(f"_c{i}")).otherwise(value)
+        inside = at.join(crowded.select("_node", axis.alias("_axis")), "_node").withColumn("_value", value)
+        shares = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
+        cuts = inside.groupBy("_node").agg(F.array_distinct(F.percentile_approx("_value", shares, 1000)).alias("_cuts"))
+        below = F.size(F.filter("_cuts", lambda c: c < F.col("_value"))) + F.size(F.filter("_cuts", lambda c: c <= F.col("_value")))
+        return inside.join(materialise(cuts, "knn-cuts"), "_node").withColumn(
+            "_node", F.concat("_node", F.lit("/"), below.cast("string"))).drop("_axis", "_value", "_cuts")
+
+    def walk(self, spots: DataFrame, k: int) -> DataFrame:
+        """(qx, qy, _node): the leaves that may hold one of the k nearest candidates of a spot."""
+        stats = ["_n", *[f"{n}{i}" for i in range(self.dims) for n in ("_low", "_high")]]
+        places = axes(self.metric, F.col("qx").cast("double"), F.col("qy").cast("double"))
+        at = spots.withColumns({f"_q{i}": c for i, c in enumerate(places)})
+        query = ["qx", "qy", *[f"_q{i}" for i in range(self.dims)]]
+        if self.around:
+            for i in range(self.dims):
+                at = at.withColumn(f"_s{i}", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+            here = [F.col(f"_q{i}") for i in range(self.dims)], [F.col(f"_s{i}") for i in range(self.dims)]
+            front = at.withColumn("_node", self._cell(*here)).join(self.levels[0], "_node")
+        else:
+            root = self.levels[0].first()  # one node
+            if root is None:
+                return at.filter("false").withColumn("_node", F.lit(""))
+            front = at.withColumns({n: F.lit(root[n]) for n in ("_node", *stats)})
+        front = self._near(front.select(*query, "_node", *stats), k)
+        for level in self.levels[1:]:
+            below = level.select(F.col("_parent").alias("_above"), *[F.col(n).alias(f"_b{n}") for n in ("_node", *stats)])
+            # a split node is replaced by its children, a leaf has none and stays
+            front = front.join(below, F.col("_node") == F.col("_above"), "left").select(
+                *query, *[F.coalesce(f"_b{n}", n).alias(n) for n in ("_node", *stats)])
+            front = self._near(front, k)
+        return front.select(*query, "_node")
+
+    def _near(self, front: DataFrame, k: int) -> DataFrame:
+        """Without the nodes that cannot hold one of the k nearest candidates."""
+        near, far = F.lit(0.0), F.lit(0.0)
+        for i in range(self.dims):
+            low, high, q = F.col(f"_low{i}"), F.col(f"_high{i}"), F.col(f"_q{i}")
+            near = near + square(F.greatest(low - q, q - high, F.lit(0.0)))
+            far = far + square(F.greatest(F.abs(low - q), F.abs(high - q)))
+        rows = front.withColumns({"_near": near, "_far": far})
+        if self.reach is not None:
+            rows = rows.filter(F.col("_near") <= self.reach * self.reach)
+        spot = Window.partitionBy("qx", "qy")
+        by_far = spot.orderBy("_far", "_node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumn("_sum", F.sum("_n").over(by_far)).withColumn(
+            "_enough", F.min(F.when(F.col("_sum") >= k, F.col("_far"))).over(spot)
         )
-    )
-
-
-def _cell_tree(cells: DataFrame, crowded: Column) -> DataFrame:
-    """The root cells and the children of crowded cells."""
-    split = cells.filter(crowded).select(
-        F.col("level").alias("_pl"), F.col("ix").alias("_px"), F.col("iy").alias("_py")
-    )
-    child = cells.filter("level > 0").join(
-        split,
-        (F.col("level") - 1 == F.col("_pl")) & (_parent("ix") == F.col("_px")) & (_parent("iy") == F.col("_py")),
-        "left_semi",
-    )
-    return cells.filter("level = 0").unionByName(child)
-
+        spare = slack(self.metric)
+        bound = F.col("_enough") if not spare else square(F.sqrt("_enough") + spare)
+        return rows.filter(F.col("_enough").isNull() | (F.col("_near") <= bound)).drop("_near", "_far", "_sum", "_enough")
 
-def _walk(
-    spots: DataFrame, tree: DataFrame, depth: int, k: int, grid: Grid, radius: float | None, metric: str
-) -> DataFrame:
-    if grid.around:
-        ix, iy = _indexes("qx", "qy", grid, F.lit(0))
-        start = spots.withColumn("ix", F.explode(F.sequence(ix - 1, ix + 1))).withColumn(
-            "iy", F.explode(F.sequence(iy - 1, iy + 1))
-        )
-    else:
-        start = spots.withColumn("ix", F.lit(0).cast("bigint")).withColumn("iy", F.lit(0).cast("bigint"))
-
-    stats = ["n", "x0", "y0", "x1", "y1"]
-    front = start.join(tree.filter("level = 0"), ["ix", "iy"]).select("qx", "qy", "level", "ix", "iy", *stats)
-    front = _prune(front, k, radius, metric)
-    for level in range(1, depth + 1):
-        below = tree.filter(F.col("level") == level).select(
-            F.lit(level - 1).alias("_pl"), _parent("ix").alias("_px"), _parent("iy").alias("_py"),
-            F.col("level").alias("_level"), F.col("ix").alias("_ix"), F.col("iy").alias("_iy"),
-            *[F.col(n).alias(f"_{n}") for n in stats],
-        )
-        # a split cell is replaced by its children, a leaf has none and stays
-        front = front.join(
-            below,
-            (F.col("level") == F.col("_pl")) & (F.col("ix") == F.col("_px")) & (F.col("iy") == F.col("_py")),
-            "left",
-        ).select(
-            "qx", "qy", *[F.coalesce(f"_{n}", n).alias(n) for n in ("level", "ix", "iy", *stats)]
-        )
-        front = _prune(front, k, radius, metric)
-    return front.select("qx", "qy", "level", "ix", "iy")
-
-
-def _prune(front: DataFrame, k: int, radius: float | None, metric: str) -> DataFrame:
-    """Drop cells that cannot hold one of the k nearest candidates."""
-    sx, sy = axis_scales(metric, F.col("qy"))
-    near_x = F.greatest(F.col("x0") - F.col("qx"), F.col("qx") - F.col("x1"), F.lit(0.0)) * sx
-    near_y = F.greatest(F.col("y0") - F.col("qy"), F.col("qy") - F.col("y1"), F.lit(0.0)) * sy
-    far_x = F.greatest(F.abs(F.col("x0") - F.col("qx")), F.abs(F.col("x1") - F.col("qx"))) * sx
-    far_y = F.greatest(F.abs(F.col("y0") - F.col("qy")), F.abs(F.col("y1") - F.col("qy"))) * sy
-    rows = front.withColumn("_near", square(near_x) + square(near_y)).withColumn("_far", square(far_x) + square(far_y))
-    if radius is not None:
-        rows = rows.filter(F.col("_near") <= radius * radius)
-    spot = Window.partitionBy("qx", "qy")
-    by_far = spot.orderBy("_far", "level", "ix", "iy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_sum", F.sum("n").over(by_far)).withColumn(
-        "_enough", F.min(F.when(F.col("_sum") >= k, F.col("_far"))).over(spot)
-    )
-    kept = rows.filter(F.col("_enough").isNull() | (F.col("_near") <= F.col("_enough")))
-    return kept.drop("_near", "_far", "_sum", "_enough")
+    def between(self) -> Column:
+        """Distance of a query at _q0.. and a candidate at _c0.."""
+        total = square(F.col("_c0") - F.col("_q0"))
+        for i in range(1, self.dims):
+            total = total + square(F.col(f"_c{i}") - F.col(f"_q{i}"))
+        return distance(self.metric, total)
 
 
 def _compare(
-    leaves: DataFrame, pts: DataFrame, cand_cols: Sequence[str], ties: Sequence[Column], depth: int, k: int,
-    grid: Grid, radius: float | None, metric: str,
+    tree: Tree, leaves: DataFrame, cand_cols: Sequence[str], ties: Sequence[Column], k: int, radius: float | None
 ) -> DataFrame:
-    keyed = _at_levels(pts, depth, grid)
-    sx, sy = axis_scales(metric, F.col("qy"))
-    d2 = square((F.col("x") - F.col("qx")) * sx) + square((F.col("y") - F.col("qy")) * sy)
-    pairs = leaves.join(keyed, ["level", "ix", "iy"]).withColumn("_d2", d2)
+    pairs = leaves.join(tree.leaves.drop("x", "y"), "_node").withColumn("distance", tree.between())
     if radius is not None:
-        pairs = pairs.filter(F.col("_d2") <= radius * radius)
-    pairs = pairs.withColumn("distance", F.sqrt("_d2"))
+        pairs = pairs.filter(F.col("distance") <= radius)
     spot = Window.partitionBy("qx", "qy").orderBy(asc("distance"), *ties)
     return (
         pairs.withColumn("_rank", F.row_number().over(spot))

@@ -1,11 +1,17 @@
 """Which points lie within their own radius of which lines.
 
 Both sides are cut into grid cells and joined on the cell. A point goes to the
-grid level whose cell is at least its reach, so it touches at most nine cells
-whatever its radius; a line goes to every level in use. Long segments are cut
+grid level whose cell is at least its reach, so it touches two cells or three along
+each axis whatever its radius; a line goes to every level in use. Long segments are cut
 into pieces no longer than a cell, so a segment touches cells in proportion to
 its length. The exact test runs on the whole segment.
 
+Before the cut a segment is clipped to the box that the points of a level reach, so one
+far-off coordinate does not become billions of pieces. With lon/lat the cells are cubes
+along the sphere; there lines are arcs and distances great circles, also across 180
+degrees and at the poles. The arc is the shorter way; opposite ends have none and match
+by their ends only.
+
 No side is broadcast by hand: Spark broadcasts the point cells when they are
 small, and else shuffles on the cell, where adaptive execution splits a cell
 that holds much of the data across tasks on both sides.
@@ -18,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sightline.functions.geometry import METRES_PER_DEGREE, axis_scales, cell_of, segment_within
+from sightline.functions.geometry import EARTH_RADIUS, axes, cell_of, check_metric, chord, dot, minus, segment_within, square
 
 BASE_CELL_METRES = 512.0
 MAX_LEVEL = 20
@@ -41,16 +47,14 @@ def within_distance_join(
     ``points`` has x, y and radius; equal point rows each count. ``line_key``
     must tell line rows apart; ``line_cols`` come along.
     """
-    base = base_cell if metric == "planar" else base_cell / METRES_PER_DEGREE
-    pts = _point_cells(points, point_cols, metric, base)
-    used = pts.agg(F.sort_array(F.collect_set("level")).alias("levels")).first()["levels"] or [0]
-    segs = _segment_cells(lines, [*line_key, *line_cols], geom, base, used)
+    check_metric(metric)
+    grid = _Grid(metric, base_cell)
+    pts = grid.point_cells(points, point_cols)
+    segs = grid.segment_cells(lines, [*line_key, *line_cols], geom, grid.reached(points))
 
     p, s = pts.alias("p"), segs.alias("s")
-    hit = segment_within(
-        F.col("p.x"), F.col("p.y"), F.col("s.ax"), F.col("s.ay"), F.col("s.bx"), F.col("s.by"),
-        F.col("p.radius"), F.col("p.sx"), F.col("p.sy"),
-    )
+    place = lambda side, name: [F.col(f"{side}.{name}{i}") for i in range(grid.dims)]
+    hit = segment_within(metric, place("p", "p"), place("s", "a"), place("s", "b"), F.col("p.radius"))
     pairs = p.join(s, F.col("p.cell") == F.col("s.cell")).filter(hit)
     # A pair shows up once per shared cell and segment: keep it once. Duplicates
     # met in one task go before the shuffle.
@@ -63,76 +67,91 @@ def within_distance_join(
     return repeated.select(*point_cols, *line_key, *line_cols)
 
 
-def _point_cells(points: DataFrame, cols: Sequence[str], metric: str, base: float) -> DataFrame:
-    located = points.filter("x is not null and y is not null and radius >= 0")
-    unique = located.groupBy(*cols, "x", "y", "radius").agg(F.count(F.lit(1)).cast("int").alias("copies"))
-    sx, sy = axis_scales(metric, F.col("y"))
-    reach_x, reach_y = F.col("radius") / sx, F.col("radius") / sy
-    level = F.ceil(F.log2(F.greatest(reach_x, reach_y) / base))
-    leveled = (
-        unique.withColumns({"sx": sx, "sy": sy, "reach_x": reach_x, "reach_y": reach_y})
-        .withColumn("level", F.greatest(F.lit(0), F.least(F.lit(MAX_LEVEL), F.coalesce(level, F.lit(0)))).cast("int"))
-        .withColumn("size", F.lit(base) * F.pow(F.lit(2.0), F.col("level")))
-    )
-    cells = _box_cells(
-        leveled,
-        F.col("x") - F.col("reach_x"), F.col("y") - F.col("reach_y"),
-        F.col("x") + F.col("reach_x"), F.col("y") + F.col("reach_y"),
-        pad=F.col("size") * _PAD,
-    )
-    return cells.drop("size", "reach_x", "reach_y", "ix", "iy")
-
-
-def _segment_cells(lines: DataFrame, cols: Sequence[str], geom: str, base: float, levels: Sequence[int]) -> DataFrame:
-    g = F.col(geom)
-    starts = F.slice(g, F.lit(1), F.greatest(F.size(g) - 1, F.lit(1)))
-    ends = F.when(F.size(g) > 1, F.slice(g, F.lit(2), F.greatest(F.size(g) - 1, F.lit(0)))).otherwise(g)
-    seg = (
-        lines.filter(F.size(g) > 0)
-        .select(*cols, F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("seg"))
-        .select(
-            *cols,
-            F.col("seg.a.x").alias("ax"), F.col("seg.a.y").alias("ay"),
-            F.col("seg.b.x").alias("bx"), F.col("seg.b.y").alias("by"),
+class _Grid:
+    def __init__(self, metric: str, base: float) -> None:
+        self.metric, self.base = metric, base
+        self.dims = 2 if metric == "planar" else 3
+
+    def _located(self, points: DataFrame) -> DataFrame:
+        """Points with their place p0.., reach and grid level."""
+        level = F.ceil(F.log2(F.col("reach") / self.base))
+        places = axes(self.metric, F.col("x"), F.col("y"))
+        return (
+            points.filter("x is not null and y is not null and radius >= 0")
+            .withColumns({f"p{i}": c for i, c in enumerate(places)})
+            .withColumn("reach", chord(self.metric, F.col("radius")))
+            .withColumn("level", F.greatest(F.lit(0), F.least(F.lit(MAX_LEVEL), F.coalesce(level, F.lit(0)))).cast("int"))
         )
-    )
-    if len(levels) == 1:
-        leveled = seg.withColumn("level", F.lit(int(levels[0])))
-    else:
-        leveled = seg.withColumn("level", F.explode(F.array(*[F.lit(int(v)) for v in levels])))
-    size = F.lit(base) * F.pow(F.lit(2.0), F.col("level"))
-    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    pieces = F.greatest(F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / F.col("size")), F.lit(1))
-    cut = (
-        leveled.withColumn("size", size)
-        .withColumn("pieces", pieces)
-        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)))
-    )
-    t0, t1 = F.col("piece") / F.col("pieces"), (F.col("piece") + 1) / F.col("pieces")
-    x0, x1 = F.col("ax") + dx * t0, F.col("ax") + dx * t1
-    y0, y1 = F.col("ay") + dy * t0, F.col("ay") + dy * t1
-    cells = _box_cells(cut, F.least(x0, x1), F.least(y0, y1), F.greatest(x0, x1), F.greatest(y0, y1), pad=F.lit(0.0))
-    return cells.select(*cols, "ax", "ay", "bx", "by", "cell")
-
-
-def _box_cells(df: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column, pad: Column) -> DataFrame:
-    """One row per cell of the row's level that the box touches."""
-    size = F.col("size")
-    return (
-        df.withColumn("ix", F.explode(F.sequence(cell_of(x0 - pad, size), cell_of(x1 + pad, size))))
-        .withColumn("iy", F.explode(F.sequence(cell_of(y0 - pad, size), cell_of(y1 + pad, size))))
-        .withColumn("cell", _cell_id(F.col("level"), F.col("ix"), F.col("iy")))
-    )
-
-
-def _cell_id(level: Column, ix: Column, iy: Column) -> Column:
-    """Level and indexes in one long. Indexes wrap at 2^29 cells; two places that
-
-    then share an id are told apart by the exact test.
-    """
-    mask = F.lit((1 << 29) - 1)
-    return (
-        F.shiftleft(level.cast("bigint"), 58)
-        .bitwiseOR(F.shiftleft(ix.bitwiseAND(mask), 29))
-        .bitwiseOR(iy.bitwiseAND(mask))
-    )
+
+    def reached(self, points: DataFrame) -> list:
+        """For each level in use the box that its points reach; a row per level."""
+        box = [f(F.col(f"p{i}") + sign * F.col("reach")).alias(f"{name}{i}")
+               for i in range(self.dims) for name, f, sign in (("low", F.min, -1), ("high", F.max, 1))]
+        return self._located(points).groupBy("level").agg(*box).collect()
+
+    def _size(self) -> Column:
+        return F.lit(self.base) * F.pow(F.lit(2.0), F.col("level"))
+
+    def point_cells(self, points: DataFrame, cols: Sequence[str]) -> DataFrame:
+        own = [F.col(f"p{i}") for i in range(self.dims)]
+        at = self._located(points).groupBy(*cols, "x", "y", "radius", "reach", "level", *own).agg(
+            F.count(F.lit(1)).cast("int").alias("copies")).withColumn("size", self._size())
+        pad = F.col("reach") + F.col("size") * _PAD
+        return self._cells(at, [c - pad for c in own], [c + pad for c in own]).drop("size", "reach", "level")
+
+    def segment_cells(self, lines: DataFrame, cols: Sequence[str], geom: str, reached: Sequence) -> DataFrame:
+        g, dims = F.col(geom), range(self.dims)
+        starts = F.slice(g, F.lit(1), F.greatest(F.size(g) - 1, F.lit(1)))
+        ends = F.when(F.size(g) > 1, F.slice(g, F.lit(2), F.greatest(F.size(g) - 1, F.lit(0)))).otherwise(g)
+        seg = lines.filter(F.size(g) > 0).select(*cols, F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("seg"))
+        named = {f"{n}{i}": c for n in ("a", "b") for i, c in enumerate(axes(self.metric, F.col(f"seg.{n}.x"), F.col(f"seg.{n}.y")))}
+        seg = seg.select(*cols, *[c.alias(n) for n, c in named.items()])
+        boxes = F.array(*[F.struct(F.lit(r["level"]).alias("level"), *[F.lit(r[f"{n}{i}"]).alias(f"{n}{i}") for i in dims for n in ("low", "high")])
+                          for r in reached])
+        if not reached:
+            return seg.filter("false").withColumn("cell", F.lit(0).cast("bigint"))
+        seg = seg.withColumn("box", F.explode(boxes)).withColumn("level", F.col("box.level")).withColumn("size", self._size())
+        a, b = [F.col(f"a{i}") for i in dims], [F.col(f"b{i}") for i in dims]
+        step = minus(b, a)
+        if self.metric == "planar":
+            begin, end = F.lit(0.0), F.lit(1.0)
+            for i in dims:  # where the segment is inside the box, widened by half a cell
+                low, high = F.col(f"box.low{i}") - F.col("size") / 2 - a[i], F.col(f"box.high{i}") + F.col("size") / 2 - a[i]
+                begin = F.greatest(begin, F.when(step[i] != 0, F.least(low / step[i], high / step[i])))
+                end = F.least(end, F.when(step[i] != 0, F.greatest(low / step[i], high / step[i])))
+                seg = seg.filter((step[i] != 0) | ((low <= 0) & (high >= 0)))
+            length = F.greatest(*[F.abs(s) for s in step])
+        else:
+            begin, end, length = F.lit(0.0), F.lit(1.0), F.sqrt(dot(step, step))
+        cut = (
+            seg.withColumns({"from": begin, "to": end, "length": length}).filter("from <= to")
+            .withColumn("pieces", F.greatest(F.ceil(F.col("length") * (F.col("to") - F.col("from")) / F.col("size")), F.lit(1)))
+            .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)))
+        )
+        share = lambda k: F.col("from") + (F.col("to") - F.col("from")) * (F.col("piece") + k) / F.col("pieces")
+        one, two = ([u + s * share(k) for u, s in zip(a, step, strict=True)] for k in (0, 1))
+        pad = F.lit(0.0)
+        if self.metric != "planar":
+            # back to the sphere; the arc rises above the straight piece by at most its square / 4 R
+            one, two = ([c * (EARTH_RADIUS / F.sqrt(dot(at, at))) for c in at] for at in (one, two))
+            pad = square(F.sqrt(dot(minus(two, one), minus(two, one)))) / (4 * EARTH_RADIUS)
+        low, high = [F.least(u, v) - pad for u, v in zip(one, two, strict=True)], [F.greatest(u, v) + pad for u, v in zip(one, two, strict=True)]
+        return self._cells(cut, low, high).select(*cols, *named, "cell")
+
+    def _cells(self, df: DataFrame, low: Sequence[Column], high: Sequence[Column]) -> DataFrame:
+        """One row per cell of the row's level that the box touches."""
+        size = F.col("size")
+        for i, (u, v) in enumerate(zip(low, high, strict=True)):
+            df = df.withColumn(f"_i{i}", F.explode(F.sequence(cell_of(u, size), cell_of(v, size))))
+        index = [F.col(f"_i{i}") for i in range(self.dims)]
+        return df.withColumn("cell", _cell_id(F.col("level"), index)).drop(*[f"_i{i}" for i in range(self.dims)])
+
+
+def _cell_id(level: Column, index: Sequence[Column]) -> Column:
+    """Level and indexes in one long. Indexes wrap at 2^29 cells, three of them at 2^19; two places
+    that then share an id are told apart by the exact test."""
+    bits = 29 if len(index) == 2 else 19
+    out = F.shiftleft(level.cast("bigint"), 58)
+    for n, i in enumerate(reversed(index)):
+        out = out.bitwiseOR(F.shiftleft(i.bitwiseAND(F.lit((1 << bits) - 1)), n * bits))
+    return out

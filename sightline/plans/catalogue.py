@@ -96,6 +96,16 @@ QUERIES["nearest20_unbounded"] = _full(
         "mid_woi", "mid_near", "distance", "rank"
     )
 )
+QUERIES["nearest20_lonlat"] = _full(
+    lambda r: evidence.nearest_panels(
+        r.p.with_(metric="metres"), driver_tables.places_on_globe(r.typed_panels), driver_tables.places_on_globe(r.typed_panels)
+    ).select("mid_woi", "mid_near", "distance", "rank")
+)
+QUERIES["intersection_lonlat"] = _full(
+    lambda r: evidence.trip_intersections(
+        driver_tables.lines_on_globe(r.t.crp_routing), r.p.with_(buffer_metric="metres"), driver_tables.places_on_globe(r.panels)
+    )
+)
 QUERIES["substitute_evidence"] = _full(lambda r: r.borrowed)
 QUERIES["evidence_full"] = _full(lambda r: r.evidence)
 

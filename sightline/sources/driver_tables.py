@@ -50,6 +50,25 @@ def _plus_hours(ts: Column, hours: int) -> Column:
     return ts + F.expr(f"interval {hours} hours")
 
 
+def lon_lat(x: Column, y: Column) -> tuple[Column, Column]:
+    """The map laid over the globe, the first town across 180 degrees: a unit is a hundred-thousandth of a degree."""
+    lon = x / 100000 + 179.8
+    return F.when(lon > 180, lon - 360).otherwise(lon), y / 100000 + 59
+
+
+def places_on_globe(df: DataFrame) -> DataFrame:
+    lon, lat = lon_lat(F.col("x"), F.col("y"))
+    return df.withColumns({"x": lon, "y": lat})
+
+
+def lines_on_globe(df: DataFrame) -> DataFrame:
+    def point(g: Column) -> Column:
+        lon, lat = lon_lat(g["x"], g["y"])
+        return F.struct(lon.alias("x"), lat.alias("y"))
+
+    return df.withColumn("geom", F.transform("geom", point))
+
+
 class DriverTables:
     """Domain tables over the parquet files in ``sf_dir``; all lazy."""
 

@@ -6,7 +6,9 @@ import random
 import pytest
 from conftest import rows
 
-from sightline.operators.neighbours import knn_join
+from pyspark.sql import functions as F
+
+from sightline.operators.neighbours import Tree, knn_join
 from sightline.operators.spatial import within_distance_join
 
 
@@ -82,6 +84,56 @@ def test_lon_lat_metres(spark):
     assert join(spark, points, lines, metric="metres") == [(1, 1), (3, 1)]
 
 
+def on_sphere(lon, lat):
+    a, b = math.radians(lon), math.radians(lat)
+    return (math.cos(b) * math.cos(a), math.cos(b) * math.sin(a), math.sin(b))
+
+
+def great_circle(p, q):
+    return 2 * 6_371_008.8 * math.asin(min(1.0, math.dist(on_sphere(*p), on_sphere(*q)) / 2))
+
+
+def arc_distance(p, a, b):
+    """By ternary search along the arc."""
+    u, v = on_sphere(*a), on_sphere(*b)
+
+    def at(t):
+        w = [x + t * (y - x) for x, y in zip(u, v)]
+        n = math.hypot(*w)
+        return 2 * 6_371_008.8 * math.asin(min(1.0, math.dist(on_sphere(*p), [c / n for c in w]) / 2))
+
+    low, high = 0.0, 1.0
+    for _ in range(100):
+        x, y = low + (high - low) / 3, high - (high - low) / 3
+        low, high = (low, y) if at(x) < at(y) else (x, high)
+    return min(at(low), at(0.0), at(1.0))
+
+
+def test_lon_lat_across_180_degrees_and_at_the_poles(spark):
+    rnd = random.Random(11)
+    places = [(179.99 + rnd.random() * 0.02, 60 + rnd.random() * 0.02) for _ in range(25)]
+    places += [(rnd.random() * 360, 89.99 + rnd.random() * 0.01) for _ in range(20)] + [(0, 90), (77, -90), (10, 0)]
+    places = [(lon - 360 if lon > 180 else lon, lat) for lon, lat in places]
+    points = [(i, *p, rnd.choice([0, 120, 600, 3000])) for i, p in enumerate(places)]
+    lines = [(s, [rnd.choice(places), rnd.choice(places[:25])] if s % 3 else [rnd.choice(places)]) for s in range(30)]
+    want = []
+    for i, lon, lat, r in points:
+        for s, geom in lines:
+            d = min(arc_distance((lon, lat), a, b) for a, b in (list(zip(geom, geom[1:])) or [(geom[0], geom[0])]))
+            assert abs(d - r) > 1e-3 or r == 0
+            if d <= r + 1e-6:
+                want.append((i, s))
+    got = join(spark, points, lines, metric="metres")
+    assert [g for g in got if points[g[0]][3]] == sorted(w for w in want if points[w[0]][3])
+    assert any(abs(points[i][1] - lines[s][1][0][0]) > 300 for i, s in got)  # across 180 degrees
+
+
+def test_far_off_coordinate_costs_the_cells_of_the_panels_only(spark):
+    points = [(i, 1000 * i, 500, 300) for i in range(20)]
+    lines = [(1, [(-1e12, 400), (1e12, 400)]), (2, [(0, 500), (1e12, 1e12)]), (3, [(0, 1e12), (1e12, 1e12)])]
+    assert join(spark, points, lines) == brute_pairs(points, lines)
+
+
 # -- nearest neighbours --------------------------------------------------------
 def brute_nearest(queries, cands, k, radius):
     out = []
@@ -143,3 +195,35 @@ def test_metres_shrink_longitude(spark):
     cands = [(1, 14.0, 60.0015), (2, 14.002, 60.0)]
     assert [r[1] for r in nearest(spark, [(9, 14.0, 60.0)], cands, 1)] == [1]
     assert [r[1] for r in nearest(spark, [(9, 14.0, 60.0)], cands, 1, 1000, metric="metres")] == [2]
+
+
+def test_leaves_are_bounded_with_a_far_off_place_and_a_dense_town(spark):
+    rnd = random.Random(8)
+    cands = [(i, rnd.randint(0, 90) / 1e6, rnd.randint(0, 90) / 1e6) for i in range(1500)] + [(5000, 1e12, -1e12)]
+    cands += [(6000 + i, 7.0, 7.0) for i in range(100)] + [(7000 + i, 8.0, float(i)) for i in range(100)]
+    c = spark.createDataFrame(cands, "near BIGINT, x DOUBLE, y DOUBLE")
+    tree = Tree(c, None, "planar", 16)
+    sizes = [r for r in tree.leaves.groupBy("_node").agg(
+        F.count("*").alias("n"), F.count_distinct("x", "y").alias("spots")).collect()]
+    assert sum(r["n"] for r in sizes) == len(cands)
+    assert all(r["n"] <= 16 or r["spots"] == 1 for r in sizes)
+    assert len(tree.levels) < 8
+    queries = [(1, 5e-5, 5e-5), (2, 1e12, 0), (3, 7, 7), (4, 8, 50)]
+    assert nearest(spark, queries, cands, 20, leaf_size=16) == brute_nearest(queries, cands, 20, None)
+
+
+@pytest.mark.parametrize("radius", [None, 900])
+def test_nearest_on_the_globe(spark, radius):
+    rnd = random.Random(9)
+
+    def place():
+        lon, lat = rnd.choice([(179.995, 60), (0, 89.995), (20, 0)])
+        lon, lat = lon + rnd.random() * (0.01 if lat < 80 else 360), lat + rnd.random() * 0.005
+        return (lon - 360 if lon > 180 else lon), lat
+
+    queries, cands = [(i, *place()) for i in range(40)], [(1000 + i, *place()) for i in range(300)]
+    want = []
+    for q, *at in queries:
+        near = sorted((round(great_circle(at, c[1:]), 3), c[0]) for c in cands)
+        want += [(q, c, i + 1) for i, (d, c) in enumerate([n for n in near if radius is None or n[0] <= radius][:7])]
+    assert nearest(spark, queries, cands, 7, radius, metric="metres", leaf_size=8) == sorted(want)
