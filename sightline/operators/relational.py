@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
 def asc(name: str) -> Column:
     return F.col(name).asc_nulls_last()
 
@@ -64,16 +63,37 @@ def is_in(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
     return df.join(listed.select(column), column, "left_semi").select(*df.columns)
 
 
+def first_per_key(df: DataFrame, keys: Sequence[str], order: dict[str, str]) -> DataFrame:
+    """``first_per_group`` as an aggregation; columns in descending order must be numbers.
+
+    Every task reduces its rows to one per key before the shuffle, and Catalyst can
+    push a filter on the keys, also a join with a short list of them, below it.
+    """
+    rank = []
+    for name, way in order.items():
+        rank += [F.col(name).isNotNull(), -F.col(name)] if way == "desc" else [F.col(name).isNull(), F.col(name)]
+    others = [n for n in df.columns if n not in keys]
+    for name in others:
+        rank += [F.col(name).isNull(), F.col(name)] if name not in order else []
+    if not others:
+        return df.select(*keys).distinct()
+    first = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(rank)])
+    # plain aggregates: a projection above them would keep a join with the keys from going below
+    return df.groupBy(*keys).agg(*[F.min_by(n, first).alias(n) for n in others]).select(*df.columns)
+
+
 def per_listed_key(
     df: DataFrame, listed: DataFrame, column: str, reduce_groups: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """``reduce_groups(df)`` for the listed keys only.
+    """``reduce_groups(df)`` for the listed keys only; it must group by ``column``, alone or among others.
 
-    One plan for lists of any length: a semi join without a hint. Spark broadcasts
-    the list if its size at run time allows, and then the groups are reduced before
-    any shuffle; else both sides are shuffled by the key, once for join and groups.
+    Groups are reduced first and then joined with the list, so a key with a third of
+    all rows is a row per task before anything is shuffled, however long the list. A
+    list that Spark broadcasts by its size is pushed by Catalyst below an aggregation
+    (``first_per_key``, ``groupBy``), down to the scan; above that size its runtime
+    Bloom filter can go there.
     """
-    return reduce_groups(is_in(df, listed, column))
+    return is_in(reduce_groups(df), listed, column)
 
 
 def exclude(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:

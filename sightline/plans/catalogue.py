@@ -120,8 +120,8 @@ QUERIES["freq_band_join"] = _tables(
 )
 QUERIES["contact_fanout_full"] = _full(lambda r: _as_double(r.contacts, "respweight", "ts_rots"))
 QUERIES["contact_fanout_inc"] = _daily(lambda r: _as_double(r.contacts, "respweight", "ts_rots"))
-QUERIES["rots_by_face"] = _full(lambda r: _as_double(contacts.rots_by_face(r.t, r.p, r.evidence), "ts_rots"))
-QUERIES["rots_by_panel"] = _daily(lambda r: _as_double(contacts.rots_by_panel(r.t, r.p, r.evidence), "ts_rots"))
+QUERIES["rots_by_face"] = _full(lambda r: _as_double(contacts.rots_by_face(r.t, r.p, r.weighed), "ts_rots"))
+QUERIES["rots_by_panel"] = _daily(lambda r: _as_double(contacts.rots_by_panel(r.t, r.p, r.weighed), "ts_rots"))
 QUERIES["ccf_face_stats"] = _full(lambda r: _as_double(r.stats, "ts_rots"))
 QUERIES["ccf_panel_stats"] = _daily(lambda r: _as_double(r.stats, "ts_rots"))
 QUERIES["ccf_full"] = _full(
@@ -213,11 +213,11 @@ QUERIES["unpublish_list_owner_exception"] = _tables(
 QUERIES["ims_weekly_scale"] = _full(
     lambda r: performance.performance_input(r.t, _LEGACY_FULL, r.panels).drop("pnlvaienv")
 )
-QUERIES["ccf_input_legacy"] = _full(lambda r: contacts.staged_contact_input(r.t, _LEGACY_FULL, r.evidence))
+QUERIES["ccf_input_legacy"] = _full(lambda r: contacts.staged_contact_input(r.t, _LEGACY_FULL, r.weighed))
 QUERIES["ccf_result_legacy"] = _full(
     lambda r: _rounded(
         ccf.staged_result_rows(
-            r.t, _LEGACY_FULL, r.evidence,
+            r.t, _LEGACY_FULL, r.weighed,
             materialise(performance.performance_input(r.t, _LEGACY_FULL, r.panels), "legacy-performance"), r.load_id,
         ).drop("vacid", "country", "ts_rots", "load_id"),
         "va",

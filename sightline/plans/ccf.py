@@ -75,14 +75,10 @@ def contact_vac(p: ReleaseParams) -> Column:
 
 def contacts_with_reach(t, p: ReleaseParams, evidence: DataFrame, stats: DataFrame) -> DataFrame:
     """Contacts with va and vac."""
-    return (
-        evidence.select("mid", "sid")
-        .join(contacts.trip_contacts(t, p), "sid")
-        .join(faces_with_reach(t, p, stats), "mid")
-        .select(
-            "pid", "sid", "respweight", "modality", "dayofweek", "respondent_id", "ts_rots", "facepid", "faceid", "va",
-            contact_vac(p).alias("vac"),
-        )
+    found = contacts.as_evidence(evidence)
+    return found.with_faces(found.with_trips(contacts.trip_contacts(t, p)), faces_with_reach(t, p, stats)).select(
+        "pid", "sid", "respweight", "modality", "dayofweek", "respondent_id", "ts_rots", "facepid", "faceid", "va",
+        contact_vac(p).alias("vac"),
     )
 
 
@@ -94,7 +90,7 @@ def control_sums(t, p: ReleaseParams, evidence: DataFrame, stats: DataFrame, loa
     """
     per_trip = contacts.trip_contacts(t, p).groupBy("sid").agg(
         F.sum("ts_rots").alias("rots"), F.sum(p.vac_weight).alias("weight"))
-    per_version = evidence.select("mid", "sid").join(per_trip, "sid").groupBy("mid").agg(
+    per_version = contacts.as_evidence(evidence).with_trips(per_trip).groupBy("mid").agg(
         F.sum("rots").alias("rots"), F.sum("weight").cast("double").alias("weight"))
     return per_version.join(faces_with_reach(t, p, stats), "mid").groupBy("pid", "faceid").agg(
         F.sum("rots").cast("double").alias("sum_of_ts_rots"), F.sum(F.col("vac_factor") * F.col("weight")).alias("sum_of_ts_vac"),
@@ -114,18 +110,20 @@ def result_rows(
     trips = contacts.trip_contacts(t, p).select("sid", "respondent_id", "dayofweek", "respweight", "ts_rots")
     versions = panels.select(F.col("mid").alias("list_mid"), "pid", F.col("last_vacid").alias("vacid"))
     shared = faces_with_reach(t, p, stats)
-    met = evidence.select("mid", "sid").join(trips, "sid")
+    found = contacts.as_evidence(evidence)
+    met = found.with_trips(trips)
     if p.distinct_result:
         faces = shared.select("mid", "pid", "facepid", "faceid")
         # once per panel version first: it is the smaller row and removes most repeats
         narrow = met.select("mid", "respondent_id", F.lower("dayofweek").alias("weekdayname"), "respweight", "ts_rots")
-        rows = narrow.distinct().join(faces, "mid").drop("mid").distinct()
+        rows = found.with_faces(narrow.distinct(), faces).drop("mid").distinct()
         by = ["pid", "faceid"] if p.grain == "face" else ["pid"]
         # joined to each other first, so the contacts meet one table keyed by panel
         panel_side = shared.select(*by, "va", "vac_factor").distinct().join(versions.distinct(), "pid")
         rows = rows.join(panel_side, by)
     else:
-        rows = met.withColumn("weekdayname", F.lower("dayofweek")).join(shared.join(versions, "pid"), "mid").drop("mid")
+        named = met.withColumn("weekdayname", F.lower("dayofweek"))
+        rows = found.with_faces(named, shared.join(versions, "pid")).drop("mid")
     return rows.select(
         "pid", F.col("list_mid").alias("mid"), "facepid", "faceid", "vacid", "respondent_id",
         F.left("respondent_id", F.lit(COUNTRY_PREFIX)).alias("country"), "weekdayname",

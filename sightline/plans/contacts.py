@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.bands import band_join
+from sightline.operators.skew import Salts, heavy_keys, salted_join
 from sightline.params import ReleaseParams
 
 VECTOR_COLUMNS = {"week_day_type": "weekdaytype", "week_day_name": "weekdayname"}
@@ -35,26 +38,52 @@ def panel_faces(t) -> DataFrame:
     return t.pnl_main.select("mid", "pid").join(t.pnl_facemid.select("mid", "facepid", "faceid"), "mid")
 
 
-def contact_fanout(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
+class Evidence:
+    """Evidence with its heavy panel versions and trips, counted once when first asked for.
+
+    A version that most trips pass, or a trip that passes most panels, is dealt over
+    several tasks in the joins.
+    """
+
+    def __init__(self, rows: DataFrame, least_rows: int | None = None) -> None:
+        self.rows = rows.select("mid", "sid")
+        self._limits = {} if least_rows is None else {"least_rows": least_rows}
+
+    @cached_property
+    def heavy(self) -> Salts:
+        return heavy_keys(self.rows, ["sid", "mid"], **self._limits)
+
+    def with_trips(self, trips: DataFrame) -> DataFrame:
+        return salted_join(self.rows, trips, "sid", self.heavy["sid"])
+
+    def with_faces(self, met: DataFrame, faces: DataFrame) -> DataFrame:
+        """Rows made from evidence with a table by panel version."""
+        return salted_join(met, faces, "mid", self.heavy["mid"])
+
+
+def as_evidence(evidence: DataFrame | Evidence) -> Evidence:
+    return evidence if isinstance(evidence, Evidence) else Evidence(evidence)
+
+
+def contact_fanout(t, p: ReleaseParams, evidence: DataFrame | Evidence) -> DataFrame:
     """Every contact of every face.
 
     A trip id with several rows meets evidence that already has a row for each
     of them, so it counts with the square of their number, as specified.
     """
-    return (
-        evidence.select("mid", "sid").join(trip_contacts(t, p), "sid").join(panel_faces(t), "mid").select(
-            "pid", "sid", "respweight", "modality", "dayofweek", "respondent_id", "ts_rots", "facepid", "faceid"
-        )
+    found = as_evidence(evidence)
+    return found.with_faces(found.with_trips(trip_contacts(t, p)), panel_faces(t)).select(
+        "pid", "sid", "respweight", "modality", "dayofweek", "respondent_id", "ts_rots", "facepid", "faceid"
     )
 
 
-def rots_per_panel_version(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
+def rots_per_panel_version(t, p: ReleaseParams, evidence: DataFrame | Evidence) -> DataFrame:
     """Contacts per mid, summed per trip first so the big join carries one number."""
     per_trip = trip_contacts(t, p).groupBy("sid").agg(F.sum("ts_rots").alias("ts_rots"))
-    return evidence.select("mid", "sid").join(per_trip, "sid").groupBy("mid").agg(F.sum("ts_rots").alias("ts_rots"))
+    return as_evidence(evidence).with_trips(per_trip).groupBy("mid").agg(F.sum("ts_rots").alias("ts_rots"))
 
 
-def rots_by_face(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
+def rots_by_face(t, p: ReleaseParams, evidence: DataFrame | Evidence) -> DataFrame:
     """Contacts per (pid, faceid); every face of a panel version gets all its trips."""
     return (
         rots_per_panel_version(t, p, evidence).join(panel_faces(t), "mid")
@@ -62,7 +91,7 @@ def rots_by_face(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
     )
 
 
-def rots_by_panel(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
+def rots_by_panel(t, p: ReleaseParams, evidence: DataFrame | Evidence) -> DataFrame:
     """Contacts per pid over all its faces."""
     faces = panel_faces(t).groupBy("mid", "pid").agg(F.count(F.lit(1)).alias("faces"))
     return (
@@ -78,7 +107,8 @@ def staged_contact_input(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
     panels = t.pnl_main.select("mid", "pid")
     if p.numbered_panels_only:
         panels = panels.filter("pid is not null and pid <> 0")
-    return evidence.select("mid", "sid").join(trips, "sid").join(panels, "mid").select(
+    found = as_evidence(evidence)
+    return found.with_faces(found.with_trips(trips), panels).select(
         "mid", "sid", "respondent_id", "routingmode", "pid"
     )
 

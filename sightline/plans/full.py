@@ -27,7 +27,7 @@ class FullRun:
     @cached_property
     def with_results(self) -> DataFrame:
         return materialise(
-            panels.attach_latest_result(self.t, self.p, materialise(self.listed, "listed")), "results"
+            panels.attach_latest_result(self.t, self.p, materialise(self.listed, "listed")), "results", counted=True
         )
 
     @cached_property
@@ -40,7 +40,7 @@ class FullRun:
 
     @cached_property
     def panels(self) -> DataFrame:
-        return materialise(self.no_calc_split[1], "panels")
+        return materialise(self.no_calc_split[1], "panels", counted=True)
 
     @cached_property
     def performance(self) -> DataFrame:
@@ -68,27 +68,33 @@ class FullRun:
 
     @cached_property
     def evidence(self) -> DataFrame:
+        """Two written tables; the intersections are not copied."""
         found = self.intersections.select(*evidence.EVIDENCE_COLUMNS)
-        return materialise(found.unionByName(self.borrowed), "evidence")
+        return found.unionByName(materialise(self.borrowed, "borrowed"))
+
+    @cached_property
+    def weighed(self) -> contacts.Evidence:
+        """The evidence with its heavy keys."""
+        return contacts.Evidence(self.evidence)
 
     @cached_property
     def contacts(self) -> DataFrame:
-        return contacts.contact_fanout(self.t, self.p, self.evidence)
+        return contacts.contact_fanout(self.t, self.p, self.weighed)
 
     @cached_property
     def stats(self) -> DataFrame:
-        return materialise(ccf.stats_of(self.t, self.p, self.evidence, self.performance), "stats")
+        return materialise(ccf.stats_of(self.t, self.p, self.weighed, self.performance), "stats")
 
     @cached_property
     def contacts_with_reach(self) -> DataFrame:
-        return ccf.contacts_with_reach(self.t, self.p, self.evidence, self.stats)
+        return ccf.contacts_with_reach(self.t, self.p, self.weighed, self.stats)
 
     @cached_property
     def control_sums(self) -> DataFrame:
-        return ccf.control_sums(self.t, self.p, self.evidence, self.stats, self.load_id)
+        return ccf.control_sums(self.t, self.p, self.weighed, self.stats, self.load_id)
 
     @cached_property
     def result(self) -> DataFrame:
         if self.p.use_frequency_vector:
-            return ccf.result_rows(self.t, self.p, self.evidence, self.stats, self.panels, self.load_id)
-        return ccf.staged_result_rows(self.t, self.p, self.evidence, self.performance, self.load_id)
+            return ccf.result_rows(self.t, self.p, self.weighed, self.stats, self.panels, self.load_id)
+        return ccf.staged_result_rows(self.t, self.p, self.weighed, self.performance, self.load_id)

@@ -34,11 +34,11 @@ class IncrementalRun:
 
     @cached_property
     def to_process(self) -> DataFrame:
-        return materialise(self.recalculation.panels, "to-process")
+        return materialise(self.recalculation.panels, "to-process", counted=True)
 
     @cached_property
     def unpublish_list(self) -> DataFrame:
-        return publish.unpublish_list(self.t, self.p, self.to_process)
+        return materialise(publish.unpublish_list(self.t, self.p, self.to_process), "unpublish")
 
     @cached_property
     def after_unpublish(self) -> DataFrame:
@@ -50,7 +50,7 @@ class IncrementalRun:
 
     @cached_property
     def panels(self) -> DataFrame:
-        return materialise(self.version_split[0], "panels")
+        return materialise(self.version_split[0], "panels", counted=True)
 
     @cached_property
     def performance(self) -> DataFrame:
@@ -79,30 +79,36 @@ class IncrementalRun:
 
     @cached_property
     def evidence(self) -> DataFrame:
+        """Two written tables; the intersections are not copied."""
         found = self.intersections.select(*evidence.EVIDENCE_COLUMNS)
-        return materialise(found.unionByName(self.substitute_intersections), "evidence")
+        return found.unionByName(materialise(self.substitute_intersections, "borrowed"))
 
     @cached_property
     def pool(self) -> DataFrame:
         return publish.refresh_pool(self.t.all_panel, self.typed_panels)
 
+    @cached_property
+    def weighed(self) -> contacts.Evidence:
+        """The evidence with its heavy keys."""
+        return contacts.Evidence(self.evidence)
+
     @cached_property
     def contacts(self) -> DataFrame:
-        return contacts.contact_fanout(self.t, self.p, self.evidence)
+        return contacts.contact_fanout(self.t, self.p, self.weighed)
 
     @cached_property
     def stats(self) -> DataFrame:
-        return materialise(ccf.stats_of(self.t, self.p, self.evidence, self.performance), "stats")
+        return materialise(ccf.stats_of(self.t, self.p, self.weighed, self.performance), "stats")
 
     @cached_property
     def contacts_with_reach(self) -> DataFrame:
-        return ccf.contacts_with_reach(self.t, self.p, self.evidence, self.stats)
+        return ccf.contacts_with_reach(self.t, self.p, self.weighed, self.stats)
 
     @cached_property
     def result(self) -> DataFrame:
         if self.p.use_frequency_vector:
-            return ccf.result_rows(self.t, self.p, self.evidence, self.stats, self.panels, self.load_id)
-        return ccf.staged_result_rows(self.t, self.p, self.evidence, self.performance, self.load_id)
+            return ccf.result_rows(self.t, self.p, self.weighed, self.stats, self.panels, self.load_id)
+        return ccf.staged_result_rows(self.t, self.p, self.weighed, self.performance, self.load_id)
 
     @cached_property
     def published(self) -> DataFrame:

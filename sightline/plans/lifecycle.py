@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from sightline import constants as c
 from sightline.functions.formulas import complexity, difficulty
-from sightline.operators.relational import delete_where, exclude, first_per_group, is_in, not_in, per_listed_key, update_from
+from sightline.operators.relational import (
+    delete_where, exclude, first_per_group, first_per_key, is_in, not_in, per_listed_key, update_from,
+)
 from sightline.params import ReleaseParams
 from sightline.plans.panels import attach_latest_result, not_calculated, panels_of
 from sightline.session import materialise
@@ -70,7 +72,7 @@ def complexity_index(t, p: ReleaseParams, targets: DataFrame) -> DataFrame:
         )
         segments = segments.join(streets, ["navteqid", "navteqver"])
     def counts_per_panel(s: DataFrame) -> DataFrame:
-        chosen = first_per_group(s, ["mid", "navteqid", "orient"], {})
+        chosen = first_per_key(s, ["mid", "navteqid", "orient"], {})
         # every segment brings its two ends; both counts fall out of one grouping by node
         start, end = (
             F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline import constants as c
-from sightline.operators.relational import exclude, first_per_group, is_in, not_in, per_listed_key, update_from
+from sightline.operators.relational import exclude, first_per_key, is_in, not_in, per_listed_key, update_from
 from sightline.params import ReleaseParams
 from sightline.schemas import PANEL_LIST_COLUMNS
 
@@ -78,7 +78,7 @@ def panels_of(t, p: ReleaseParams, pids: DataFrame) -> DataFrame:
 def latest_runs(t, panels: DataFrame) -> DataFrame:
     """Newest visibility run of each listed panel version, with its error."""
     runs = t.vai_vac_res.select("mid", "vacid", "err_vac_res")
-    return per_listed_key(runs, panels, "mid", lambda r: first_per_group(r, ["mid"], {"vacid": "desc"}))
+    return per_listed_key(runs, panels, "mid", lambda r: first_per_key(r, ["mid"], {"vacid": "desc"}))
 
 
 def attach_latest_result(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from sightline import constants as c
 from sightline.functions.formulas import environment_name, visibility
-from sightline.operators.relational import first_per_group, is_in, per_listed_key, update_from
+from sightline.operators.relational import first_per_key, is_in, per_listed_key, update_from
 from sightline.session import materialise
 from sightline.params import ReleaseParams
 
 
 def latest_run_per_face(runs: DataFrame) -> DataFrame:
-    return first_per_group(runs, ["faceid"], {"vacid": "desc"})
+    return first_per_key(runs, ["faceid"], {"vacid": "desc"})
 
 
 def performance_base(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def performance_base(t, p: ReleaseParams, panels: DataFrame) -> DataFrame:
     all_runs = t.vai_vac_res.select("mid", "faceid", "vacid")
     newest = per_listed_key(
         # one run per panel version and face; of several versions' runs the newest of the face
-        all_runs, panels, "mid", lambda r: first_per_group(r, ["mid", "faceid"], {"vacid": "desc"})
+        all_runs, panels, "mid", lambda r: first_per_key(r, ["mid", "faceid"], {"vacid": "desc"})
     )
     newest = latest_run_per_face(newest)
     main = is_in(t.pnl_main.select("mid", "pid", "pnlsubtype", "pnlmotion"), panels, "mid")

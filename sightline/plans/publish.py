@@ -93,27 +93,39 @@ def release_faces(t, performance: DataFrame) -> DataFrame:
     return newest.join(panel_faces, "faceid")
 
 
-def _release(t, faces: DataFrame, release: int, periods: tuple[int, ...], keys: list[str]) -> DataFrame:
-    rows = t.output_round.filter(F.col("periodid").isin(*periods)).join(faces, "vacid")
-    one = first_per_group(rows, keys, {"vacid": "desc", "faceid": "asc"})
-    return one.withColumn("rvloadid", F.lit(release)).select(*RELEASE_COLUMNS)
+def release_rows(t, p: ReleaseParams, faces: DataFrame, releases: tuple[int, ...] | None = None) -> DataFrame:
+    """New rows of the releases, from one scan of the results and one grouping.
+
+    The first release has one row per panel face and transport type, the second one per
+    panel face, transport type and period. A result row counts for each release that
+    takes its period.
+    """
+    takes = [(p.ids_release, period, False) for period in (p.ids_period,)]
+    takes += [(p.ims_release, period, True) for period in p.ims_periods]
+    takes = [x for x in takes if releases is None or x[0] in releases]
+    wanted = F.array(*[F.struct(F.lit(r).alias("release"), F.lit(q).alias("period"), F.lit(by).alias("by_period")) for r, q, by in takes])
+    picked = t.output_round.filter(F.col("periodid").isin(*sorted({q for _, q, _ in takes}))).join(faces, "vacid")
+    rows = picked.withColumn("_take", F.explode(F.filter(wanted, lambda w: w["period"] == F.col("periodid")))).select(
+        "*", F.col("_take.release").alias("rvloadid"), F.when(F.col("_take.by_period"), F.col("periodid")).alias("_period")
+    ).drop("_take")
+    one = first_per_group(rows, ["rvloadid", "facepid", "transptype", "_period"], {"vacid": "desc", "faceid": "asc"})
+    return one.select(*RELEASE_COLUMNS)
 
 
 def release_ids(t, p: ReleaseParams, faces: DataFrame) -> DataFrame:
     """One row per panel face and transport type."""
-    return _release(t, faces, p.ids_release, (p.ids_period,), ["facepid", "transptype"])
+    return release_rows(t, p, faces, (p.ids_release,))
 
 
 def release_ims(t, p: ReleaseParams, faces: DataFrame) -> DataFrame:
     """One row per panel face, transport type and period."""
-    return _release(t, faces, p.ims_release, p.ims_periods, ["facepid", "transptype", "periodid"])
+    return release_rows(t, p, faces, (p.ims_release,))
 
 
 def publish(t, p: ReleaseParams, published: DataFrame, performance: DataFrame) -> DataFrame:
     """Replace the rows of the processed panels in both releases."""
     faces = materialise(release_faces(t, performance), "release-runs")
-    new = release_ids(t, p, faces).unionByName(release_ims(t, p, faces))
-    return replace_by_key(published, performance, "pid", F.col("rvloadid").isin(*p.releases), new)
+    return replace_by_key(published, performance, "pid", F.col("rvloadid").isin(*p.releases), release_rows(t, p, faces))
 
 
 # -- registry and log -----------------------------------------------------------

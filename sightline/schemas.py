@@ -60,6 +60,7 @@ STATE = {
     ),
     "loads": "load_id BIGINT, user STRING",
     "loads_inc": "load_id BIGINT, user STRING",
+    "load_ledger": "part STRING, load_id BIGINT, rows BIGINT, invalid BIGINT",
     "panel_log": (
         "mid BIGINT, pid BIGINT, x DOUBLE, y DOUBLE, radius DOUBLE, load_id BIGINT, desc_text STRING"
     ),

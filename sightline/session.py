@@ -8,7 +8,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _own_scratch: dict[str, str] = {}
 
@@ -57,14 +58,26 @@ def clear_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialise(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, label: str, compression: str | None = None, counted: bool = False) -> DataFrame:
     """Write ``df`` once and read it back; ``compression`` is Parquet's, by default the session's.
 
     Used where one result feeds several consumers. Unlike a cache the table
     outlives lost executors, ends the lineage, and has a known size, so later
-    joins choose their strategy from it.
+    joins choose their strategy from it. With ``counted`` the write also counts
+    its rows, for ``rows_written``.
     """
     spark = df.sparkSession
     path = f"{_app_scratch(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
+    if not counted:
+        df.write.parquet(path, compression=compression)
+        return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path, compression=compression)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._rows_written = seen.get["rows"]
+    return out
+
+
+def rows_written(df: DataFrame) -> int:
+    """Rows of a table that ``materialise`` has counted; no job."""
+    return df._rows_written

@@ -83,3 +83,38 @@ def test_band_edges(spark):
     bands = spark.createDataFrame([("WD", 50.0, 200.0, 0.5)], "t STRING, lo DOUBLE, hi DOUBLE, prob DOUBLE")
     got = band_join(trips, bands, [("kind", "t")], "freq", "lo", "hi")
     assert rows(got, "sid") == [(2,), (3,)]
+
+
+def test_first_per_key_chooses_as_first_per_group(spark):
+    df = spark.createDataFrame(
+        [(1, 10, "b", 1), (1, None, "a", 2), (1, None, None, 3), (2, 5, "x", 4), (2, 7, "x", 5), (None, 1, None, None), (None, 1, None, None)],
+        "k INT, v BIGINT, t STRING, n INT")
+    for order in ({"v": "desc"}, {"v": "asc"}, {"t": "asc", "v": "desc"}, {}):
+        assert rows(rel.first_per_key(df, ["k"], order)) == rows(rel.first_per_group(df, ["k"], order))
+    assert rows(rel.first_per_key(df.select("k"), ["k"], {})) == [(None,), (1,), (2,)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_groups_are_reduced_before_the_shuffle_and_below_a_short_list(spark):
+    runs = spark.range(1000).selectExpr("if(id % 3 = 0, 7, id) AS mid", "id AS vacid", "cast(id AS string) AS e")
+    listed = spark.range(20).selectExpr("id AS mid")
+
+    def newest(r):
+        return rel.first_per_key(r, ["mid"], {"vacid": "desc"})
+
+    got = rel.per_listed_key(runs, listed, "mid", newest)
+    want = rows(rel.first_per_group(rel.is_in(runs, listed, "mid"), ["mid"], {"vacid": "desc"}))
+    assert rows(got) == want and len(want) == 13
+    short = _plan(got)
+    assert short.index("partial_min_by") < short.index("BroadcastHashJoin")  # the join stands below
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        long = rel.per_listed_key(runs, listed, "mid", newest)
+        assert rows(long) == want
+        plan = _plan(long)
+        assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning(mid") < plan.index("partial_min_by")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sightline.params import legacy_full_params, legacy_incremental_params
 from sightline.plans.runner import run_full, run_incremental
 from sightline.schemas import INPUTS
-from sightline.sources.snapshots import SnapshotStore
+from sightline.sources.snapshots import CommitConflict, SnapshotStore
 
 LINE = [(-500.0, 0.0), (500.0, 0.0)]
 
@@ -175,6 +175,78 @@ def test_invalid_rows_of_earlier_loads_are_set_aside(spark, place, store, full_p
     assert rows(store.read("pnl_to_revise"), "pid", "load_id", "null_zero_result") == [(9, 7, True)]
 
 
+def files_of(store, name):
+    import glob
+
+    return {part: sorted(glob.glob(f"{store.root}/{path}/*.parquet")) for part, path in store.paths[name].items()}
+
+
+def test_only_touched_parts_are_written(spark, place, store, full_p, daily_p):
+    run_full(store, place(), full_p)
+    out = store.begin()
+    rows_ = [(r, 10 * pid, 1, 1, "ALL", 1.0, 1.0, pid, pid, 1) for r in (99, 100, 101) for pid in range(1, 200)]
+    old = spark.createDataFrame(rows_, out.store.read("release_publish").schema)
+    out.replace("release_publish", old)
+    out.commit()
+    # the first daily run lays an older store's single part out anew
+    run_incremental(store, place("one", changed_stamp=NOON_TODAY), daily_p)
+    first = files_of(store, "release_publish")
+    pool = files_of(store, "all_panel")
+    assert len(first) > 100 and all(first.values())
+    run_incremental(store, place("two", changed_stamp=NOON_TODAY), daily_p)
+    second = files_of(store, "release_publish")
+    changed = {part for part in first if first[part] != second[part]}
+    assert set(first) == set(second) and {part.split("-")[0] for part in changed} == {"r100", "r101"} and len(changed) == 2
+    assert sum(a != b for a, b in zip(pool.values(), files_of(store, "all_panel").values())) <= 1
+    left = store.read("release_publish")
+    assert left.filter("rvloadid = 99").count() == 199 and left.filter("pid = 1 and rvloadid = 100").count() == 2
+    # a panel is taken down: its rows go, the others' files stay
+    run_incremental(store, place("gone", demolished=[7]), daily_p)
+    third = files_of(store, "release_publish")
+    assert sum(second[part] != third.get(part) for part in second) == 2
+    assert rows(store.read("release_publish").filter("pid = 7"), "rvloadid") == [(99,)]
+
+
+def test_clean_history_is_not_read(spark, place, store, full_p, daily_p, monkeypatch):
+    run_full(store, place(), full_p)
+    for name in ("one", "two"):
+        run_incremental(store, place(name, changed_stamp=NOON_TODAY), daily_p)
+    assert rows(store.read("load_ledger"), "part", "rows", "invalid") == [("load1", 4, 0), ("load2", 4, 0)]
+    opened = []
+    read = SnapshotStore.read
+    monkeypatch.setattr(SnapshotStore, "read", lambda self, name, *a, **k: opened.append(name) or read(self, name, *a, **k))
+    run_incremental(store, place("three", changed_stamp=NOON_TODAY), daily_p)
+    assert "ccf_result_inc" not in opened and "load_ledger" in opened
+
+
+def test_the_later_of_two_runs_starts_again(spark, place, store, full_p):
+    other = SnapshotStore(spark, store.root)
+    inputs = place()
+    late = other.begin()
+    assert run_full(store, inputs, full_p)["load_id"] == 1
+    late.replace("crp_missing", spark.createDataFrame([(4,)], "pid BIGINT"))
+    with pytest.raises(CommitConflict):
+        late.commit()
+    assert run_full(other, inputs, full_p)["load_id"] == 2  # the same base: begun anew on what the first has left
+    assert rows(SnapshotStore(spark, store.root).read("loads"), "load_id") == [(1,), (2,)]
+
+
+def test_directories_without_a_pointer_are_removed(spark, place, store, full_p):
+    import glob
+
+    run_full(store, place(), full_p)
+    dead = store.begin()
+    dead.replace("all_panel", store.read("all_panel").limit(0))
+    dead.replace_parts("release_publish", store.read("release_publish"), F.lit("x"))
+    before = rows(store.read("all_panel"))
+    assert store.clean(hours=24) == []
+    gone = store.clean(hours=0)
+    assert any(g.startswith("tables/all_panel/all-2-") for g in gone)
+    assert rows(SnapshotStore(spark, store.root).read("all_panel")) == before
+    assert run_full(store, place(), full_p)["load_id"] == 2
+    assert not [d for d in glob.glob(f"{store.root}/tables/all_panel/all-2-*")]
+
+
 def test_failed_run_changes_nothing(spark, place, store, full_p):
     run_full(store, place(), full_p)
     before = rows(store.read("all_panel"))
