@@ -15,7 +15,9 @@
 4. Slot t of a source takes block p(t mod blocks), where p is a keyed permutation, another
    one for each time round. So a block is taken ``most`` times at most, and as often as
    any other block of its source, or once more.
-5. Documents meet their blocks in a join on source and block.
+5. The slots are a written table, and documents meet their blocks in a join on source and
+   block. The result is the mix: every output shard with its slots and the words that each
+   takes of each document. What is taken of a document is the sum over its rows.
 
 Everything follows from the rows and the seed; reruns agree. Null, empty and blank texts
 have no words: target 0 for a source of nothing else. Repeated rows are documents of
@@ -32,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sightline.llm.columns import document_key, key_of, unused
 from sightline.llm.permute import permute
 from sightline.session import materialise
 
@@ -79,18 +82,19 @@ def _slots(seed: int):
                     for turn in np.unique(t // r.blocks):
                         now = t // r.blocks == turn
                         block[now] = permute(t[now] % r.blocks, r.blocks, seed + 7919 * r.number + 104729 * int(turn))
-                    yield pd.DataFrame({"shard": r.shard, "number": r.number, "turn": t // r.blocks, "block": block})
+                    yield pd.DataFrame({
+                        "shard": r.shard, "slot": t, "number": r.number, "turn": t // r.blocks, "block": block})
 
     return run
 
 
-def _take(names: list[str]):
+def _take(names: list[str], spans_at: str):
     """Texts cut to the words of their spans; a text taken whole stays as it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(spans_at).to_pylist(), strict=True):
                 words = text.encode().split()
                 runs: list[list[int]] = []
                 for s in spans:
@@ -132,8 +136,10 @@ class Mix:
         begins = np.cumsum(counts, axis=0) - counts
         dealt = [(i, j, blocks[j], int(begins[i, j]) + at, min(_CHUNK, int(counts[i, j]) - at))
                  for i in range(shards) for j in range(len(found)) for at in range(0, int(counts[i, j]), _CHUNK)]
-        self.slots = spark.createDataFrame(dealt, "shard int, number int, blocks long, begin long, n long").repartition(
-            "shard", "number", "begin").mapInPandas(_slots(seed), "shard int, number int, turn long, block long")
+        tasks = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        # written, so that the joins know its size; a number of tasks, as the few rows here stand for many slots
+        self.slots = materialise(spark.createDataFrame(dealt, "shard int, number int, blocks long, begin long, n long").repartition(
+            tasks, "shard", "number", "begin").mapInPandas(_slots(seed), "shard int, slot long, number int, turn long, block long"), "slots")
 
         numbered = sized.join(self.sources.select("number", "source", "width", "parts"), sized["source"].eqNullSafe(self.sources["source"])).select(
             "doc_id", "h", "size", "number", "width", F.pmod(F.xxhash64("doc_id", "h"), F.col("parts")).cast("int").alias("part"))
@@ -149,21 +155,30 @@ class Mix:
                 "from": F.expr("greatest(0L, block * width - begin)"),
                 "to": F.expr("least(size, (block + 1) * width - begin)")})
 
+    @property
+    def mixed(self) -> DataFrame:
+        """(shard, number, slot, turn, block, begin, doc_id, h, size, from, to): the words that a slot of an output
+        shard takes of a document; number is the source's, slot its place among the source's slots."""
+        return self._pieces.drop("width").join(self.slots, ["number", "block"])
+
     @property
     def taken(self) -> DataFrame:
-        """(doc_id, h, size, source, source_size, target, taken), one row per document."""
-        times = self.slots.groupBy("number", "block").agg(F.count("*").alias("times"))
-        got = self._pieces.join(times, ["number", "block"], "left").groupBy("number", "begin", "doc_id", "h", "size").agg(
-            F.sum(F.expr("(to - from) * coalesce(times, 0)")).alias("taken"))
-        none = self.placed.filter("size = 0").drop("width").withColumn("taken", F.lit(0).cast("long"))
+        """(doc_id, h, size, source, source_size, target, taken, n_shards), one row per document; n_shards: output
+        shards that hold words of it."""
+        keys = ["number", "begin", "doc_id", "h", "size"]
+        slots = self.slots.select("number", "block", "shard")
+        got = self._pieces.join(slots, ["number", "block"], "left").groupBy(*keys).agg(
+            F.sum(F.when(F.col("shard").isNotNull(), F.col("to") - F.col("from")).otherwise(0)).alias("taken"),
+            F.size(F.collect_set("shard")).cast("long").alias("n_shards"))
+        none = self.placed.filter("size = 0").drop("width").withColumns(
+            {"taken": F.lit(0).cast("long"), "n_shards": F.lit(0).cast("long")})
         return got.unionByName(none).join(self.sources, "number").select(
-            "doc_id", "h", "size", "source", "source_size", "target", "taken")
+            "doc_id", "h", "size", "source", "source_size", "target", "taken", "n_shards")
 
     @property
     def spans(self) -> DataFrame:
         """(doc_id, h, begin, turn, spans): what each time round takes of a document, as (from, to) of its words."""
-        drawn = self.slots.select("number", "block", "turn")
-        return self._pieces.join(drawn, ["number", "block"]).groupBy("number", "begin", "doc_id", "h", "turn").agg(
+        return self.mixed.groupBy("number", "begin", "doc_id", "h", "turn").agg(
             F.array_sort(F.collect_list(F.struct("from", "to"))).alias("spans")).drop("number")
 
     @property
@@ -171,14 +186,11 @@ class Mix:
         """The mix as documents, all columns: a row for each time round that takes of a document, its text what is
         taken of it; n_chars follows, if there is one. What the blocks between leave out is a line break."""
         names, schema = self.documents.columns, self.documents.schema
-        key = F.col("doc_id").cast("long")
-        alike = Window.partitionBy("_id", "_none", "_h")
-        keyed = self.documents.withColumns({
-            "_id": F.coalesce(key, F.lit(0)), "_none": key.isNull(), "_h": F.xxhash64(F.coalesce("text", F.lit("")))})
-        keyed = keyed.withColumn("_copy", F.dense_rank().over(alike.orderBy(F.monotonically_increasing_id())))
-        spans = self.spans.select(
-            F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), F.col("h").alias("_h"),
-            "begin", F.col("spans").alias("_spans"))
-        spans = spans.withColumn("_copy", F.dense_rank().over(alike.orderBy("begin"))).drop("begin")
-        out = keyed.join(spans, ["_id", "_none", "_h", "_copy"]).select(*names, "_spans").mapInArrow(_take(names), schema)
+        key, copy, cut = (unused(self.documents, stem) for stem in ("key", "copy", "spans"))
+        alike = Window.partitionBy(key)
+        keyed = self.documents.withColumn(key, document_key())
+        keyed = keyed.withColumn(copy, F.dense_rank().over(alike.orderBy(F.monotonically_increasing_id())))
+        spans = self.spans.select(key_of("doc_id", "h").alias(key), "begin", F.col("spans").alias(cut))
+        spans = spans.withColumn(copy, F.dense_rank().over(alike.orderBy("begin"))).drop("begin")
+        out = keyed.join(spans, [key, copy]).select(*names, cut).mapInArrow(_take(names, cut), schema)
         return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out

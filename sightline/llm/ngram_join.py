@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sightline.llm.columns import document_key, key_of, unused
 from sightline.llm.graph import components
 from sightline.llm.words import batch_chunks, gram_hashes, hash_words, mix
 from sightline.session import materialise
@@ -325,12 +326,8 @@ def one_of_each(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFram
     keep = placed.filter("component is not null").groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNotNull(), "doc_id", "h")).alias("k"))
     keep = keep.select("k.doc_id", "k.h").unionByName(placed.filter("component is null").select("doc_id", "h"))
-    key, names = F.col("doc_id").cast("long"), documents.columns
-    keyed = documents.withColumns({
-        "_id": F.coalesce(key, F.lit(0)), "_none": key.isNull(), "_h": F.xxhash64(F.coalesce("text", F.lit("")))})
-    keep = keep.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
-                       F.col("h").alias("_h"))
+    key, copy = unused(documents, "key"), unused(documents, "copy")
     wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    alike = Window.partitionBy("_id", "_none", "_h").orderBy("_id")
-    return keyed.join(keep, ["_id", "_none", "_h"], "left_semi").withColumn("_copy", F.row_number().over(alike)).filter(
-        (F.col("_copy") == 1) | wordless).select(names)
+    alike = Window.partitionBy(key).orderBy(key)
+    return documents.withColumn(key, document_key()).join(keep.select(key_of("doc_id", "h").alias(key)), key, "left_semi").withColumn(
+        copy, F.row_number().over(alike)).filter((F.col(copy) == 1) | wordless).select(documents.columns)
