@@ -7,9 +7,9 @@ its lines' forward-backward marginals of "good", weighted by length, put through
 logistic curve that is fitted with the weights.
 
 Training takes labelled documents, each line with its document's label, from at most
-``TRAIN_ROWS`` documents in order of a hash of their id; of a longer one the first
-``TRAIN_LINES`` lines of its first ``TRAIN_CHARS`` characters. These are the only bounds:
-every line of every document is scored. The model is some hundred numbers and goes to the tasks with the code.
+``TRAIN_ROWS`` documents in order of a hash of their id. That is the only bound: all lines
+of these documents teach, in chains of at most ``CHAIN`` lines, and every line of every
+document is scored. The model is some hundred numbers and goes to the tasks with the code.
 
 Null, empty and blank texts have one empty line. Repeated rows get equal scores.
 """
@@ -28,8 +28,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from sightline.llm.words import batch_chunks, chunks, hash_words, mix, word_spans
 
 TRAIN_ROWS = 4000
-TRAIN_LINES = 60
-TRAIN_CHARS = 20_000
+CHAIN = 64
+_CELLS = 30_000  # lines of a group of chains, filled up
 _STEPS = 120
 _GROUP = 256
 _FEATURES = 52  # 17 of the line, of the one before and of the one after, and a constant
@@ -154,10 +154,10 @@ def _batch_pass(own: np.ndarray, mask: np.ndarray, bonds: np.ndarray, weight: np
     return np.exp(ahead + back - total[:, None, None]), (pairs * (mask[:, 1:] * weight[:, None])[:, :, None, None]).sum((0, 1))
 
 
-def fit(texts: list[bytes], labels: list[int], lines: int = TRAIN_LINES, steps: int = _STEPS) -> LineModel:
+def fit(texts: list[bytes], labels: list[int], lines: int = CHAIN, steps: int = _STEPS) -> LineModel:
     """Maximum likelihood with a small penalty, by Adam, over chains sorted into groups of like length.
 
-    Classes weigh the same. Without both labels the model is even: every score is the share of label 1.
+    A text of more than ``lines`` lines makes several chains, which share its weight. Classes weigh the same. Without both labels the model is even: every score is the share of label 1.
     """
     y = np.array(labels, float)
     data, width = [], _FEATURES
@@ -167,17 +167,19 @@ def fit(texts: list[bytes], labels: list[int], lines: int = TRAIN_LINES, steps:
     if not 0 < y.sum() < len(y):
         share = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
         return LineModel(np.zeros(width), np.zeros((2, 2)), 0.0, float(np.log(share / (1 - share))))
-    order = sorted(range(len(data)), key=lambda i: len(data[i]))
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
-    groups = []
-    for at in range(0, len(order), 500):
-        part = order[at: at + 500]
-        n = min(lines, len(data[part[-1]]))
+    chains = sorted(((i, at) for i, own in enumerate(data) for at in range(0, len(own), lines)),
+                    key=lambda c: min(lines, len(data[c[0]]) - c[1]))
+    groups, per_group = [], max(1, _CELLS // lines)
+    for first in range(0, len(chains), per_group):
+        part = chains[first: first + per_group]
+        n = min(lines, len(data[part[-1][0]]) - part[-1][1])
         x, mask = np.zeros((len(part), n, width)), np.zeros((len(part), n), bool)
-        for r, i in enumerate(part):
-            own = data[i][:n]
+        for r, (i, at) in enumerate(part):
+            own = data[i][at: at + n]
             x[r, : len(own)], mask[r, : len(own)] = own, True
-        groups.append((x, mask, y[part], weight[part] / mask.sum(1)))
+        of = np.array([i for i, _ in part])
+        groups.append((x, mask, y[of], weight[of] / np.array([len(data[i]) for i in of])))
     theta, m, v = np.zeros(width + 4), np.zeros(width + 4), np.zeros(width + 4)
     for step in range(1, steps + 1):
         gradient = -1e-4 * theta
@@ -213,7 +215,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Li
     picked = labels.select("doc_id", "label").filter("doc_id is not null and label in (0, 1)").distinct().orderBy(
         F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     told = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
-        "label", F.substring("text", 1, TRAIN_CHARS).alias("text"), "doc_id").orderBy(
+        "label", "text", "doc_id").orderBy(
         F.xxhash64("doc_id"), "text", "label").limit(rows).collect()
     return fit([(r.text or "").encode() for r in told], [int(r.label) for r in told])
 
