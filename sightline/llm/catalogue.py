@@ -56,8 +56,8 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest of the shards of all documents; their data are the table behind it."""
-    return shards.write_shards(_read(spark, sf_dir, "documents")).drop("data")
+    """Every sequence of all documents with its slot, read back from the written shards."""
+    return shards.sequences(shards.write_shards(_read(spark, sf_dir, "documents")))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

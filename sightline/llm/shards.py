@@ -1,17 +1,20 @@
 """Training-order materialisation: token sequences in a keyed random order, in fixed-stride binary shards.
 
 1. Every text becomes ids with an end token, cut into sequences of ``stride`` ids, the
-   last one filled up with the end token. They are written once, numbered 0..n-1 by file
-   part and place.
+   last one filled up with the end token. They are written once and numbered 0..n-1 in the
+   order of id (null first), hash of the text, copy and place. Documents are counted for that, not
+   sequences sorted: running sums within ranges of ids, and the sums of the ranges before.
+   So a number follows from the rows alone, however they are dealt over files and tasks.
 2. A keyed Feistel permutation with cycle-walking sends the number of each sequence to
-   its global slot: one to one, without a sort or a random column, the same on a rerun.
+   its global slot: one to one, without a random column, the same on a rerun.
 3. Shard s holds slots s * per_shard up to (s + 1) * per_shard - 1, in order. The rows
    are dealt by range, so each task writes whole shards, one after the other.
 4. A shard file is a header (magic, ids per sequence, first slot, number of slots; four
    unsigned 64-bit integers) and the ids, unsigned 16 bit, little-endian. Slot g is at a
    known byte, so a reader can go on from any place with one seek. A file is one
-   binary value of a Parquet table partitioned by shard: Spark commits it whole, a task
-   that is run again replaces it, and any store that Spark writes to will do.
+   binary value of a Parquet table: Spark commits it whole, a task that is run again
+   replaces it, and any store that Spark writes to will do. Beside it stands the shard's
+   index: which sequence of which document is in each slot.
 
 Null and empty texts are one sequence with the end token. Repeated rows are sequences of
 their own. No rows: no shards.
@@ -68,47 +71,62 @@ def _slot(n: int, key: int):
     return slot
 
 
+def _first_numbers(cut: DataFrame) -> DataFrame:
+    """(doc_id, h, n, base): sequences of one copy of a document, and the number of the first one of its copies."""
+    spark = cut.sparkSession
+    documents = materialise(cut.groupBy("doc_id", "h").agg(
+        F.count("*").alias("all"), F.count_if(F.col("start") == 0).alias("copies")), "document-sequences")
+    dealt = documents.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "h").withColumn("part", F.spark_partition_id())
+    dealt = materialise(dealt, "document-ranges")
+    before, bases = 0, []
+    for part, n in dealt.groupBy("part").agg(F.sum("all")).orderBy("part").collect():  # one row for each range
+        bases.append((part, before))
+        before += n
+    within = Window.partitionBy("part").orderBy("doc_id", "h").rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.join(F.broadcast(spark.createDataFrame(bases, "part int, base long")), "part").select(
+        "doc_id", "h", F.expr("all div copies").alias("n"), (F.col("base") + F.coalesce(F.sum("all").over(within), F.lit(0))).alias("base"))
+
+
 def ordered(documents: DataFrame, key: int = 1, path: str | None = None, stride: int = STRIDE) -> DataFrame:
     """(slot, doc_id, start, length, ids): every sequence with its place in training order; slots have no gap."""
-    base = documents.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
-    cut = base.mapInArrow(_cut(path or vocabulary_path(), stride),
-                          "doc_id long, h long, start long, length int, ids binary")
-    cut = materialise(cut.withColumn("part", F.spark_partition_id()).withColumn(
-        "place", F.expr("monotonically_increasing_id() & ((1L << 33) - 1)")), "sequences", COMPRESSION)
-    # one row for each file part
-    parts = cut.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
-    base_of, total = [], 0
-    for part, n in parts:
-        base_of.append((part, total))
-        total += n
-    bases = documents.sparkSession.createDataFrame(base_of, "part int, base long")
-    return cut.join(F.broadcast(bases), "part").withColumn(
-        "slot", _slot(total, key)(F.col("place") + F.col("base"))).select("slot", "doc_id", "start", "length", "ids")
+    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+    cut = materialise(base.mapInArrow(
+        _cut(path or vocabulary_path(), stride), "doc_id long, h long, start long, length int, ids binary"), "sequences", COMPRESSION)
+    first = materialise(_first_numbers(cut), "first-numbers")
+    total = cut.count()
+    c, f = cut.alias("c"), first.alias("f")
+    met = c.join(f, F.col("c.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("c.h") == F.col("f.h"))).select("c.*", "n", "base")
+    copy = F.row_number().over(Window.partitionBy("doc_id", "h", "start").orderBy("length")) - 1  # copies are alike
+    number = F.col("base") + copy * F.col("n") + F.expr(f"start div {stride}")
+    return met.withColumn("number", number).withColumn("slot", _slot(total, key)(F.col("number"))).select(
+        "slot", "doc_id", "start", "length", "ids")
 
 
 def _files(stride: int, per_shard: int):
-    names = ["shard", "n_sequences", "first_slot", "n_tokens", "crc32", "data"]
+    names = ["shard", "n_sequences", "first_slot", "n_tokens", "crc32", "data", "index"]
+    entry = pa.struct([("slot", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("crc32", pa.int64())])
 
-    def emit(shard: int, rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        body = b"".join(ids.ljust(2 * stride, b"\0") for _, _, ids in rows)
+    def emit(shard: int, rows: list[tuple]) -> pa.RecordBatch:
+        body = b"".join(r[4].ljust(2 * stride, b"\0") for r in rows)
         first = shard * per_shard
-        if [s for s, _, _ in rows] != list(range(first, first + len(rows))):
+        if [r[0] for r in rows] != list(range(first, first + len(rows))):
             raise ValueError(f"shard {shard} has a gap")
         data = np.array([MAGIC, stride, first, len(rows)], _HEADER).tobytes() + body
+        index = [dict(zip(entry.names, (*r[:4], zlib.crc32(r[4])), strict=True)) for r in rows]
         return pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int64()), pa.array([len(rows)], pa.int64()), pa.array([first], pa.int64()),
-             pa.array([sum(n for _, n, _ in rows)], pa.int64()), pa.array([zlib.crc32(data)], pa.int64()),
-             pa.array([data], pa.binary())], names)
+             pa.array([sum(r[3] for r in rows)], pa.int64()), pa.array([zlib.crc32(data)], pa.int64()),
+             pa.array([data], pa.binary()), pa.array([index], pa.list_(entry))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, rows = None, []
         for batch in batches:
-            for slot, length, ids in zip(*(batch.column(c).to_pylist() for c in ("slot", "length", "ids")), strict=True):
-                if slot // per_shard != shard:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("slot", "doc_id", "start", "length", "ids")), strict=True):
+                if row[0] // per_shard != shard:
                     if rows:
                         yield emit(shard, rows)
-                    shard, rows = slot // per_shard, []
-                rows.append((slot, length, ids))
+                    shard, rows = row[0] // per_shard, []
+                rows.append(row)
         if rows:
             yield emit(shard, rows)
 
@@ -119,22 +137,28 @@ def write_shards(
     documents: DataFrame, to: str | None = None, key: int = 1, path: str | None = None, stride: int = STRIDE,
     per_shard: int = PER_SHARD,
 ) -> DataFrame:
-    """Writes the shards and returns the table, one row per shard: shard, n_sequences, first_slot, n_tokens, crc32, data.
+    """Writes the shards and returns the table, one row per shard: shard, n_sequences, first_slot, n_tokens, crc32, data, index.
 
-    ``n_tokens`` counts ids without the filling. ``to`` names a folder; without it the
+    ``n_tokens`` counts ids without the filling. ``index`` has slot, doc_id, start, length and crc32 (of its ids) of each sequence. ``to`` names a folder; without it the
     table is kept among the session's intermediate ones.
     """
     spark = documents.sparkSession
-    rows = ordered(documents, key, path, stride).select("slot", "length", "ids", F.expr(f"slot div {per_shard}").alias("shard"))
+    rows = ordered(documents, key, path, stride).withColumn("shard", F.expr(f"slot div {per_shard}"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = rows.repartitionByRange(n, "shard").sortWithinPartitions("slot").select("slot", "length", "ids").mapInArrow(
-        _files(stride, per_shard), "shard long, n_sequences long, first_slot long, n_tokens long, crc32 long, data binary")
+    files = rows.repartitionByRange(n, "shard").sortWithinPartitions("slot").drop("shard").mapInArrow(
+        _files(stride, per_shard), "shard long, n_sequences long, first_slot long, n_tokens long, crc32 long, data binary, "
+        "index array<struct<slot: long, doc_id: long, start: long, length: int, crc32: long>>")
     if to is None:
         return materialise(files, "shards", COMPRESSION)
     files.write.parquet(to, compression=COMPRESSION)
     return spark.read.schema(files.schema).parquet(to)
 
 
+def sequences(shards: DataFrame) -> DataFrame:
+    """(shard, slot, doc_id, start, length, crc32), one row per sequence, from the written shards' indexes."""
+    return shards.select("shard", F.inline("index"))
+
+
 def read_slots(shards: DataFrame, begin: int, end: int, stride: int = STRIDE, per_shard: int = PER_SHARD) -> DataFrame:
     """(slot, ids) of the slots from ``begin`` up to ``end``, exclusive; reads only the shards that hold them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from sightline.llm import graph, mixing, packing, shards, tokens, url_rules, vector_links
+from sightline.llm import graph, mixing, ngram_join, packing, shards, tokens, url_rules, vector_links
 from sightline.llm.permute import permute
 
 TEXTS = [(1, "The house stands. " * 300), (2, None), (3, ""), (4, "naïve <|endoftext|> ünï  code\n\n x"), (4, "same id"),
@@ -81,6 +81,18 @@ def test_shards_round_trip(frame):
     assert len(shards.read_slots(table, 40, 70, stride, per_shard).collect()) == 30
     assert [r.n_sequences for r in table.orderBy("shard").collect()][:-1] == [per_shard] * (table.count() - 1)
     assert shards.write_shards(frame.limit(0), path=path).count() == 0
+    index = shards.sequences(table).collect()
+    own = {r.slot: (r.doc_id, r.start, r.length, zlib.crc32(r.ids)) for r in rows}
+    assert {r.slot: (r.doc_id, r.start, r.length, r.crc32) for r in index} == own and len(index) == len(rows)
+    assert all(r.shard == r.slot // per_shard for r in index)
+
+
+def test_training_order_does_not_depend_on_partitions(frame):
+    path, order = tokens.vocabulary_path(), ["slot", "doc_id", "start", "length", "ids"]
+    ways = [frame.coalesce(1), frame.repartition(3), frame.orderBy(frame["text"].desc())]
+    first, *others = [sorted(map(str, shards.ordered(w, 5, path, 16).select(order).collect())) for w in ways]
+    assert all(o == first for o in others)
+    assert first != sorted(map(str, shards.ordered(frame, 6, path, 16).select(order).collect()))
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 1000, 4097])
@@ -202,6 +214,51 @@ def test_mix(frame):
     assert words == Counter({i: n for i in {i for i, _ in TEXTS} if (n := sum(r.taken for r in taken if r.doc_id == i))})
 
 
+def test_the_mix_by_shard_and_slot(spark):
+    frame = spark.createDataFrame([(i, f"s{i % 3}", "w " * (40 + i)) for i in range(60)], "doc_id long, source string, text string")
+    mix = mixing.Mix(frame, block_words=16, shards=8)
+    rows = mix.mixed.collect()
+    taken = {r.doc_id: r for r in mix.taken.collect()}
+    words: Counter = Counter()
+    for r in rows:
+        words[r.doc_id] += r["to"] - r["from"]
+    assert words == Counter({i: r.taken for i, r in taken.items() if r.taken})
+    of: dict[int, set] = {}
+    for r in rows:
+        of.setdefault(r.doc_id, set()).add(r.shard)
+    assert all(taken[i].n_shards == len(of.get(i, ())) for i in taken)
+    # the drawn counts of each source in each shard are what the shards hold, and they are not even
+    got = Counter((r.shard, r.number) for r in mix.slots.collect())
+    sizes = [sum(r["size"] for r in taken.values() if r.source == f"s{k}") for k in range(3)]
+    slots = [sum(n for (_, number), n in got.items() if number == k) for k in range(3)]
+    drawn = mixing.draw_counts(slots, 8, 0)
+    assert {k: n for k, n in got.items()} == {(i, j): int(drawn[i, j]) for i in range(8) for j in range(3) if drawn[i, j]}
+    assert len(set(drawn[:, 0].tolist())) > 1 and sum(sizes) == sum(40 + i for i in range(60))
+    assert {(r.number, r.slot) for r in rows} == {(k, t) for k in range(3) for t in range(slots[k])}
+
+
+def test_columns_named_like_the_helpers_keep_their_values(spark):
+    schema = "doc_id long, text string, source string, _id string, _key int, __key string, _copy string, _SPANS string, _h int, _none int"
+    rows = [(i // 2, f"word{i // 2} b c d e f g h {i % 4 // 2}", "s", f"own{i}", i, "k", "c", "s", i, -i) for i in range(8)]
+    frame = spark.createDataFrame(rows, schema)
+    kept = ngram_join.one_of_each(frame, n=3, percent=80)
+    assert kept.columns == frame.columns and all(r._id == f"own{r._key}" and r._none == -r._key for r in kept.collect())
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3]
+    texts = mixing.Mix(frame, share=2, weights=(1,)).texts
+    assert texts.columns == frame.columns and all(r._id == f"own{r._key}" and r._SPANS == "s" for r in texts.collect())
+    assert Counter(r._key for r in texts.collect()) == Counter({i: 2 for i in range(8)})
+
+
+def test_mix_of_long_and_empty_texts(spark):
+    frame = spark.createDataFrame([(1, "a", "w " * 200_000), (2, "a", None), (3, None, ""), (4, "b", " \n")],
+                                  "doc_id long, source string, text string")
+    mix = mixing.Mix(frame)
+    taken = {r.doc_id: r.taken for r in mix.taken.collect()}
+    assert abs(taken.pop(1) - 300_000) <= 64 and taken == {2: 0, 3: 0, 4: 0}
+    assert abs(sum(len(r.text.split()) for r in mix.texts.collect()) - 300_000) <= 64
+    assert mixing.Mix(frame.limit(0)).texts.collect() == []
+
+
 def test_mix_of_tiny_sources_meets_its_targets(spark):
     sizes = {"a": 15, "b": 33, "c": 1, "d": 70, "e": 500, "f": 4000}
     frame = spark.createDataFrame([(i, s, "w " * n) for i, (s, n) in enumerate(sizes.items())], "doc_id long, source string, text string")
