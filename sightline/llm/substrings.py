@@ -11,13 +11,15 @@ streams the passages which can match it:
    the smallest hash. Equal windows have equal anchors. Consecutive windows with one
    anchor make a passage of at most 2n - k words, known by a hash of its words.
 2. Anchors met once in the corpus cannot hold a repeated window and go.
-3. A passage met twice is repeated throughout. Passages that share an anchor but not
-   their words form a reference shard. Its suffix automaton is built, with the number
-   of times each state occurs, and the shard's passages are streamed through it: the
-   state of the last ``n`` words tells whether they occur again.
+3. The different passages of an anchor, each with the number of times it stands for, form
+   a reference shard. Its suffix automaton is built, with the number of times each state
+   occurs, and the shard's passages are streamed through it: the state of the last ``n``
+   words tells whether they occur again.
 4. A shard over ``GROUP`` different passages (a phrase with an endless number of
-   contexts) would make an unbounded automaton. Its windows are compared whole, by
-   their MD5, in an ordinary aggregation. No case is dropped.
+   contexts) would make an unbounded automaton. It is cut into several by the place of the
+   windows before the anchor: windows of a narrower range share more words, so their parts
+   are filed under longer strings, in smaller shards, each with its automaton. In the end a
+   shard has one window. No case is dropped.
 5. The repeated windows return to their documents, whose remaining words are joined.
 
 Null, empty or short texts have no window and lose nothing. Repeated rows, also with
@@ -40,7 +42,10 @@ from sightline.session import materialise
 
 ANCHOR_WORDS = 12
 GROUP = 1000
+PARTS = 4
+KIND = ["anchor", "content", "n_windows", "lead"]
 _A, _B = np.uint64(0xD1342543DE82EF95), np.uint64(0xF1357AEA2E62A9C5)
+_KINDS = "anchor long, content long, n_windows int, lead int"
 
 
 class SuffixAutomaton:
@@ -139,9 +144,10 @@ def _passages(n: int, k: int):
                     [
                         part.column("doc_id").take(pa.array(row)), part.column("h").take(pa.array(row)),
                         pa.array(place[begin].astype(np.int32)), pa.array((end - begin + 1).astype(np.int32)),
+                        pa.array((low[begin] - begin).astype(np.int32)),
                         pa.array(grams[low[begin]].view(np.int64)), pa.array(content.view(np.int64)),
                     ],
-                    ["doc_id", "h", "start", "n_windows", "anchor", "content"],
+                    ["doc_id", "h", "start", "n_windows", "lead", "anchor", "content"],
                 )
 
     return run
@@ -153,26 +159,26 @@ def _cut(n: int):
             for text, wanted in zip(frame["text"], frame["wanted"], strict=True):
                 words = text.encode().split()
                 yield pd.DataFrame(
-                    [(w["anchor"], w["content"], w["n_windows"], w["times"], w["contents"],
+                    [(*(w[k] for k in KIND), w["times"], w["contents"],
                       b" ".join(words[w["start"]: w["start"] + w["n_windows"] + n - 1]).decode()) for w in wanted],
-                    columns=["anchor", "content", "n_windows", "times", "contents", "words"],
+                    columns=[*KIND, "times", "contents", "words"],
                 )
 
     return run
 
 
-def _shard(n: int, passages: dict[int, tuple[list, int]]) -> Iterator[tuple[int, int]]:
-    """(content, bits of its repeated windows) of the passages of one shard."""
+def _shard(n: int, passages: dict[tuple, tuple[list, int]]) -> Iterator[tuple]:
+    """(kind, bits of its repeated windows) of the passages of one shard."""
     automaton = SuffixAutomaton()
     for words, times in passages.values():
         automaton.add(words, times)
     automaton.count()
-    for content, (words, _) in passages.items():
+    for kind, (words, _) in passages.items():
         bits = 0
         for i, (length, seen) in enumerate(automaton.matches(words, n)):
             if length >= n and seen > 1:
                 bits |= 1 << (i - n + 1)
-        yield content, bits
+        yield (*kind, bits)
 
 
 def _shards(n: int):
@@ -182,21 +188,69 @@ def _shards(n: int):
         anchor, passages = None, {}
 
         def done():
-            return [(anchor, c, b) for c, b in _shard(n, passages) if b] if passages else []
+            return [r for r in _shard(n, passages) if r[-1]] if passages else []
 
         for frame in frames:
             found = []
-            for a, c, words, times in zip(frame["anchor"], frame["content"], frame["words"], frame["times"], strict=True):
-                if a != anchor:
+            kinds = zip(*(frame[k] for k in KIND), strict=True)
+            for kind, words, times in zip(kinds, frame["words"], frame["times"], strict=True):
+                if kind[0] != anchor:
                     found += done()
-                    anchor, passages = a, {}
-                passages.setdefault(c, (words.split(" "), times))
-            yield pd.DataFrame(found, columns=["anchor", "content", "bits"])
-        yield pd.DataFrame(done(), columns=["anchor", "content", "bits"])
+                    anchor, passages = kind[0], {}
+                passages.setdefault(kind, (words.split(" "), times))
+            yield pd.DataFrame(found, columns=[*KIND, "bits"])
+        yield pd.DataFrame(done(), columns=[*KIND, "bits"])
 
     return run
 
 
+def _number(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _narrower(n: int, width: int):
+    """Each passage in parts, by the place of its windows before the anchor: ``width`` places a part.
+    A part is filed under the words that all windows at these places share."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            kinds = zip(*(frame[k] for k in KIND), strict=True)
+            for kind, joined, times in zip(kinds, frame["words"], frame["times"], strict=True):
+                words, (_, _, n_windows, lead) = joined.split(" "), kind
+                for part in range((lead - n_windows + 1) // width, lead // width + 1):
+                    i, j = max(0, lead - (part + 1) * width + 1), min(n_windows, lead - part * width + 1)
+                    piece = " ".join(words[i: j - 1 + n])
+                    shared = " ".join(words[lead - part * width: lead - (part + 1) * width + 1 + n])
+                    out.append((*kind, i, _number(f"{part}:{shared}"), _number(piece), j - i, lead - i, times, piece))
+            yield pd.DataFrame(out, columns=[*(f"of_{k}" for k in KIND), "offset", *KIND, "times", "words"])
+
+    return run
+
+
+def _marks(cut: DataFrame, n: int, group: int, width: int) -> DataFrame:
+    """(kind, bits) of the passages (kind, times, contents, words) with repeated windows; ``width``: places
+    before the anchor that the windows of a passage can have."""
+    by_automaton = (
+        cut.filter((F.col("contents") <= group) | F.lit(width == 1)).repartition("anchor").sortWithinPartitions(*KIND)
+        .mapInPandas(_shards(n), f"{_KINDS}, bits long")
+    )
+    large = cut.filter((F.col("contents") > group) & F.lit(width > 1))
+    if large.isEmpty():
+        return by_automaton
+    narrow = -(-width // PARTS)
+    of = ", ".join(f"of_{k}" for k in _KINDS.split(", "))
+    pieces = materialise(large.mapInPandas(
+        _narrower(n, narrow), f"{of}, offset int, {_KINDS}, times long, words string"), "narrower-passages")
+    kinds = materialise(pieces.groupBy(*KIND).agg(F.sum("times").alias("times"), F.first("words").alias("words")), "narrower-kinds")
+    met = materialise(kinds.groupBy("anchor").agg(F.count("*").alias("contents"), F.sum("times").alias("all")).filter(
+        F.col("all") > 1).drop("all"), "narrower-shards")
+    found = materialise(_marks(materialise(kinds.join(met, "anchor"), "narrower-shared"), n, group, narrow), "narrower-marks")
+    back = pieces.drop("words", "times").join(found, KIND).select(
+        *[F.col(f"of_{k}").alias(k) for k in KIND], F.expr("shiftleft(bits, offset)").alias("bits"))
+    return by_automaton.unionByName(back.groupBy(*KIND).agg(F.bit_or("bits").alias("bits")))
+
+
 def repeated_passages(documents: DataFrame, n: int, k: int = ANCHOR_WORDS, group: int = GROUP) -> DataFrame:
     """(doc_id, h, start, bits): bit i is set where the window at word start + i occurs again.
 
@@ -205,37 +259,22 @@ def repeated_passages(documents: DataFrame, n: int, k: int = ANCHOR_WORDS, group
     if not 0 < n - k < 62 or n - k >= n:
         raise ValueError("the anchor must be shorter than the window, by 61 words at most")
     passages = materialise(documents.mapInArrow(
-        _passages(n, k), "doc_id long, h long, start int, n_windows int, anchor long, content long"), "passages")
-    often = passages.groupBy("anchor").count().filter("count > 1").select("anchor")
+        _passages(n, k), "doc_id long, h long, start int, n_windows int, lead int, anchor long, content long"), "passages")
+    # written, so that a frequent anchor's rows can be split in the join
+    often = materialise(passages.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
     shared = materialise(passages.join(often, "anchor", "left_semi"), "shared-passages")
-
-    kinds = materialise(shared.groupBy("anchor", "content", "n_windows").agg(
+    kinds = materialise(shared.groupBy(*KIND).agg(
         F.count("*").alias("times"), F.min(F.struct("doc_id", "h", "start")).alias("at")), "passage-kinds")
-    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("contents")).filter("contents > 1")
-    whole = kinds.filter("times > 1").select("anchor", "content", F.expr("shiftleft(1L, n_windows) - 1").alias("bits"))
+    shards = materialise(kinds.groupBy("anchor").agg(F.count("*").alias("contents")), "passage-shards")
 
-    wanted = kinds.join(mixed, "anchor").groupBy("at.doc_id", "at.h").agg(F.collect_list(
-        F.struct("anchor", "content", "n_windows", "times", "contents", "at.start")).alias("wanted"))
+    wanted = kinds.join(shards, "anchor").groupBy("at.doc_id", "at.h").agg(F.collect_list(
+        F.struct(*KIND, "times", "contents", "at.start")).alias("wanted"))
     texts = documents.alias("d").join(
         wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.h") == F.col("w.h")))
     cut = materialise(texts.select("text", "wanted").mapInPandas(
-        _cut(n), "anchor long, content long, n_windows int, times long, contents long, words string"), "passage-words")
-
-    by_automaton = (
-        cut.filter(F.col("contents") <= group).repartition("anchor").sortWithinPartitions("anchor", "content")
-        .mapInPandas(_shards(n), "anchor long, content long, bits long")
-    )
-    windows = (
-        cut.filter(F.col("contents") > group).dropDuplicates(["anchor", "content"])
-        .select("anchor", "content", "times", F.posexplode(F.expr(
-            f"transform(sequence(0, n_windows - 1), i -> md5(array_join(slice(split(words, ' '), i + 1, {n}), ' ')))")))
-    )
-    again = windows.groupBy("anchor", "col").agg(F.sum("times").alias("all")).filter("all > 1").drop("all")
-    compared = windows.join(again, ["anchor", "col"], "left_semi").select(
-        "anchor", "content", F.expr("shiftleft(1L, pos)").alias("bits"))
-    marks = whole.unionByName(by_automaton).unionByName(compared).groupBy("anchor", "content").agg(
-        F.bit_or("bits").alias("bits"))
-    return shared.join(marks, ["anchor", "content"]).select("doc_id", "h", "start", "bits")
+        _cut(n), f"{_KINDS}, times long, contents long, words string"), "passage-words", "zstd")
+    marks = materialise(_marks(cut, n, group, n - k + 1), "passage-marks")
+    return shared.join(marks, KIND).select("doc_id", "h", "start", "bits")
 
 
 def _remove(n: int, width: int):
@@ -276,7 +315,7 @@ def remove_repeats(documents: DataFrame, n: int = 35, k: int = ANCHOR_WORDS, gro
     base = documents.select(
         F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
     spans = repeated_passages(base, n, k, group).groupBy("doc_id", "h").agg(
-        F.collect_list(F.struct("start", "bits")).alias("spans"))
+        F.collect_set(F.struct("start", "bits")).alias("spans"))  # copies of a row have the same ones
     joined = base.alias("d").join(
         spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.h") == F.col("s.h")), "left")
     return joined.select("d.doc_id", "text", "spans").mapInArrow(
