@@ -49,18 +49,22 @@ DOMAIN = {
                             ELSE 'ALL' END AS kind,
                        l_quantity - 1, floor(l_extendedprice)
                 FROM lineitem)
-            WHERE NOT (per = 1 AND kind = 'ALL'))
+            WHERE NOT (per = 1 AND kind = 'ALL')
+            UNION ALL
+            SELECT l_orderkey, 10 + l_linenumber % 2, CASE l_linenumber WHEN 2 THEN 'VEH' WHEN 3 THEN 'PUB' WHEN 4 THEN 'PED'
+                   WHEN 5 THEN 'BIC' ELSE 'ALL' END, l_quantity, floor(l_extendedprice)
+            FROM lineitem)
         GROUP BY ALL""",
     "vai_seg": """
         SELECT l_partkey AS mid, l_suppkey AS navteqid, '25q1' AS navteqver,
                CASE WHEN l_linenumber % 2 = 0 THEN 'F' ELSE 'T' END AS orient,
-               l_suppkey % (3 + l_partkey % 9) AS x1, l_suppkey % 2 AS y1,
-               (l_suppkey + 1) % (3 + l_partkey % 9) AS x2, l_suppkey % 2 AS y2
+               l_suppkey % (3 + l_partkey % 9) + (l_linenumber % 2) * 0.0000002::DOUBLE AS x1, l_suppkey % 2 AS y1,
+               (l_suppkey + 1) % (3 + l_partkey % 9) + l_linenumber // 4 AS x2, l_suppkey % 2 AS y2
         FROM lineitem""",
     "topo_streets": """
         SELECT s_suppkey AS link_id, '25q1' AS navteqver, CAST(65 + s_suppkey % 8 AS VARCHAR) AS linetype
         FROM supplier""",
-    "crp_routing": """
+    "trip_routes": """
         SELECT event_id AS sid, upper(left(c_mktsegment, 3)) || c_custkey AS respondent_id, event_type AS routingmode,
                dayname(ts) AS week_day_name,
                CASE WHEN dayname(ts) IN ('Saturday', 'Sunday') THEN 'WE' ELSE 'WD' END AS week_day_type,
@@ -68,6 +72,7 @@ DOMAIN = {
                CAST((event_id // 10000) * 50000 + (event_id * 6151) % 24000 AS DOUBLE) AS x,
                CAST((event_id * 3079) % 40000 AS DOUBLE) AS y
         FROM events JOIN customer ON user_id = c_custkey""",
+    "trip_routes_older": "SELECT * REPLACE (x + 150 AS x, y - 100 AS y) FROM trip_routes",
     "resp_weight_input": """
         SELECT upper(left(c_mktsegment, 3)) || c_custkey AS respondent_id,
                CAST(floor(c_acctbal) AS DECIMAL(13,3)) * 0.001 AS benchwgt_pp
@@ -77,14 +82,14 @@ DOMAIN = {
         FROM (VALUES ('WD', 'Monday'), ('WD', 'Tuesday'), ('WD', 'Wednesday'), ('WD', 'Thursday'), ('WD', 'Friday'),
                      ('WE', 'Saturday'), ('WE', 'Sunday')) AS d(kind, day)
         CROSS JOIN (VALUES (0, 50, 0.25), (50, 200, 0.50), (200, 1000, 1.00)) AS b(lo, hi, prob)""",
-    "crp_missing": "SELECT DISTINCT pid FROM pt WHERE p_brand = 'Brand#13' AND p_size <= 12",
+    "panel_inbox": "SELECT DISTINCT pid FROM pt WHERE p_brand = 'Brand#13' AND p_size <= 12",
     "no_calc": "SELECT pid, 'E0' AS err_vac_res FROM pt WHERE p_brand = 'Brand#21' AND p_size <= 20",
     "no_calc_inc": """
         SELECT pid, p AS mid, CASE WHEN p % 2 = 1 THEN 'E1' END AS err_vac_res, p % 5 < 3 AS in_queue,
                p % 5 = 0 AS calculated, p % 5 = 0 AND (p // 5) % 2 = 1 AS processed, p % 7 = 1 AS ignore
         FROM pt WHERE p_size BETWEEN 5 AND 8""",
     "vac_queue": f"""
-        SELECT p AS mid, 'init_continous_release' AS usrn, 50820 AS temp_table,
+        SELECT p AS mid, 'init_continous_release' AS usrn, CASE WHEN p % 2 = 0 THEN 50820 ELSE 50020 END AS temp_table,
                CAST({AS_OF} - CAST(p % 8 AS INTEGER) AS TIMESTAMP) AS stamp_in_queue, p % 5 <> 2 AS ended
         FROM pt WHERE p_size BETWEEN 5 AND 16""",
     "bad_navteq": """
@@ -99,7 +104,8 @@ DOMAIN = {
         FROM pnl_main m JOIN pnl_geom USING (mid) JOIN panel_state s USING (mid)
         WHERE s.status = 3 AND s.timeattid = 0 AND m.pnlsubtype IN ('ECONOMY', 'SMALL')""",
     "release_publish": """
-        SELECT CASE o.periodid WHEN 1 THEN 100 WHEN 200 THEN 101 ELSE 99 END AS rvloadid, f.facepid, o.vacid, o.periodid,
+        SELECT CASE WHEN o.periodid = 1 THEN 100 WHEN o.periodid = 200 THEN 101 WHEN o.periodid IN (10, 11) THEN 105
+                    WHEN o.transptype <> 'BIC' THEN 104 ELSE 99 END AS rvloadid, f.facepid, o.vacid, o.periodid,
                o.transptype, o.vac, o.rots, q.pid, v.mid, v.faceid
         FROM output_round o JOIN vai_vac_res v USING (vacid) JOIN pnl_facemid f ON f.faceid = v.faceid
         JOIN pt q ON q.p = v.mid

@@ -39,7 +39,7 @@ class ReleaseParams:
     use_frequency_vector: bool = True
     weekday_prefix: int | None = None
     numbered_panels_only: bool = False  # of the staged form: panels with a pid
-    substitute_trips: str = "crp_routing"  # trips a daily run matches with borrowed buffers
+    substitute_trips: str = "trip_routes"  # trips a daily run matches with borrowed buffers
 
     # contact formula
     grain: str = "face"  # face | panel
@@ -117,7 +117,7 @@ def legacy_full_params(as_of: dt.date, map_version: str, **changes) -> ReleasePa
 
 
 def legacy_incremental_params(as_of: dt.date, map_version: str, **changes) -> ReleaseParams:
-    """Older daily run: owner exception, line types left out, other periods and releases."""
+    """Older daily run: owner exception, line types left out, other periods, trips and releases."""
     values = dict(
         _LEGACY,
         consume_inbox=False,
@@ -125,6 +125,7 @@ def legacy_incremental_params(as_of: dt.date, map_version: str, **changes) -> Re
         vac_period=2,
         queue_tag=c.LEGACY_QUEUE_TAG,
         exclude_line_types=c.LEGACY_EXCLUDED_LINE_TYPES,
+        substitute_trips="trip_routes_older",
         ids_release=104,
         ids_period=2,
         ims_release=105,

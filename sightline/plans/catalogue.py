@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.params import legacy_full_params, legacy_incremental_params
+from sightline.params import ReleaseParams, legacy_full_params, legacy_incremental_params
 from sightline.plans import ccf, contacts, evidence, lifecycle, panels, performance, publish
 from sightline.plans.full import FullRun
 from sightline.plans.incremental import IncrementalRun
@@ -27,8 +27,8 @@ def _full(build: Callable[[FullRun], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(FullRun(DriverTables(spark, sf_dir), driver_tables.full()))
 
 
-def _daily(build: Callable[[IncrementalRun], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(IncrementalRun(DriverTables(spark, sf_dir), driver_tables.incremental()))
+def _daily(build: Callable[[IncrementalRun], DataFrame], p: ReleaseParams | None = None) -> Query:
+    return lambda spark, sf_dir: build(IncrementalRun(DriverTables(spark, sf_dir), p or driver_tables.incremental()))
 
 
 def _null(kind: str) -> Column:
@@ -103,7 +103,7 @@ QUERIES["nearest20_lonlat"] = _full(
 )
 QUERIES["intersection_lonlat"] = _full(
     lambda r: evidence.trip_intersections(
-        driver_tables.lines_on_globe(r.t.crp_routing), r.p.with_(buffer_metric="metres"), driver_tables.places_on_globe(r.panels)
+        driver_tables.lines_on_globe(r.t.trip_routes), r.p.with_(buffer_metric="metres"), driver_tables.places_on_globe(r.panels)
     )
 )
 QUERIES["substitute_evidence"] = _full(lambda r: r.borrowed)
@@ -223,3 +223,21 @@ QUERIES["ccf_result_legacy"] = _full(
         "va",
     )
 )
+
+# the older daily run: periods 2, 10 and 11, releases 104 and 105, the owner exception, trips of an earlier survey
+_LEGACY_DAILY = legacy_incremental_params(AS_OF, MAP_VERSION)
+QUERIES["panels_to_process_legacy"] = _daily(lambda r: r.to_process, _LEGACY_DAILY)
+QUERIES["substitute_intersection_legacy"] = _daily(lambda r: r.substitute_intersections.select("mid", "sid"), _LEGACY_DAILY)
+QUERIES["ccf_result_inc_legacy"] = _daily(
+    lambda r: _rounded(r.result.drop("vacid", "country", "ts_rots", "load_id"), "va"), _LEGACY_DAILY
+)
+QUERIES["publish_replace_legacy"] = _daily(lambda r: r.published, _LEGACY_DAILY)
+
+# two steps in their older order
+QUERIES["recalc_state_errors_last"] = _daily(
+    lambda r: _as_double(r.recalculation.state, "complexity_index"), driver_tables.incremental().with_(refresh_errors_first=False)
+)
+QUERIES["panels_late_without_vac"] = _daily(
+    lambda r: r.panels.select("mid", "pid", "last_vacid", "err_vac_res", "vac_all_1"),
+    driver_tables.incremental().with_(late_panels_get_vac=False),
+)

@@ -16,14 +16,14 @@ VECTOR_COLUMNS = {"week_day_type": "weekdaytype", "week_day_name": "weekdayname"
 
 def frequency_bands(t, p: ReleaseParams) -> DataFrame:
     """Trips with the bands of the frequency vector they fall in."""
-    trips = t.crp_routing.select("sid", "respondent_id", "routingmode", "week_day_name", "week_day_type", "trip_freq")
+    trips = t.trip_routes.select("sid", "respondent_id", "routingmode", "week_day_name", "week_day_type", "trip_freq")
     on = [(k, VECTOR_COLUMNS[k]) for k in p.vector_key]
     return band_join(trips, t.freq_trips_vector, on, "trip_freq", "freq_from", "freq_to")
 
 
 def trip_contacts(t, p: ReleaseParams) -> DataFrame:
     """One row per trip and band: the respondent, their weight and contacts."""
-    trips = frequency_bands(t, p) if p.use_frequency_vector else t.crp_routing.withColumn("prob", F.lit(1))
+    trips = frequency_bands(t, p) if p.use_frequency_vector else t.trip_routes.withColumn("prob", F.lit(1))
     day = F.col("week_day_name")
     if p.weekday_prefix is not None:
         day = F.left(day, F.lit(p.weekday_prefix))
@@ -103,7 +103,7 @@ def rots_by_panel(t, p: ReleaseParams, evidence: DataFrame | Evidence) -> DataFr
 # -- older staged form ---------------------------------------------------------
 def staged_contact_input(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
     """Evidence with trip and panel attributes."""
-    trips = t.crp_routing.select("sid", "respondent_id", "routingmode")
+    trips = t.trip_routes.select("sid", "respondent_id", "routingmode")
     panels = t.pnl_main.select("mid", "pid")
     if p.numbered_panels_only:
         panels = panels.filter("pid is not null and pid <> 0")
@@ -115,7 +115,7 @@ def staged_contact_input(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
 
 def staged_contacts(t, p: ReleaseParams, evidence: DataFrame) -> DataFrame:
     """Older contacts per panel: weights without a frequency vector, no faces."""
-    trips = t.crp_routing.select("sid", "respondent_id", F.left("week_day_name", F.lit(p.weekday_prefix)).alias("dayofweek"))
+    trips = t.trip_routes.select("sid", "respondent_id", F.left("week_day_name", F.lit(p.weekday_prefix)).alias("dayofweek"))
     return (
         staged_contact_input(t, p, evidence).join(trips, ["sid", "respondent_id"])
         .join(t.resp_weight_input, "respondent_id")

@@ -48,7 +48,7 @@ class FullRun:
 
     @cached_property
     def intersections(self) -> DataFrame:
-        return materialise(evidence.trip_intersections(self.t.crp_routing, self.p, self.panels), "intersections")
+        return materialise(evidence.trip_intersections(self.t.trip_routes, self.p, self.panels), "intersections")
 
     @cached_property
     def typed_panels(self) -> DataFrame:

@@ -49,7 +49,7 @@ def owner_exception(p: ReleaseParams) -> Column:
 def panel_list_full(t, p: ReleaseParams) -> DataFrame:
     """All standing panels and those of the inbox, without duplicates."""
     standing = (F.col("status") == c.STATUS_ACTIVE) & (F.col("timeattid") == c.NOT_DEMOLISHED)
-    wanted = standing | F.col("pid").isin(t.crp_missing.select("pid"))
+    wanted = standing | F.col("pid").isin(t.panel_inbox.select("pid"))
     return _list(_panels(t, p).filter(wanted)).distinct()
 
 
@@ -60,7 +60,7 @@ def changed_panels(t, p: ReleaseParams) -> DataFrame:
     """
     panels = _panels(t, p)
     changed = panels.filter(
-        (_since_yesterday("stamp", p) & active(p)) | F.col("pid").isin(t.crp_missing.select("pid"))
+        (_since_yesterday("stamp", p) & active(p)) | F.col("pid").isin(t.panel_inbox.select("pid"))
     )
     reopened_pids = t.pnl_timeatts.filter(_since_yesterday("stamp", p) & (F.col("timeattid") == c.NOT_DEMOLISHED))
     may_reopen = F.col("status") == c.STATUS_ACTIVE

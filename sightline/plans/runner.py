@@ -95,7 +95,7 @@ def _run_full(store: SnapshotStore, inputs: str, p: ReleaseParams, user: str | N
     run = FullRun(t, p, load_id)
     counters = {"load_id": 0, "listed": rows_written(run.with_results)}
     if p.consume_inbox:
-        out.replace("crp_missing", store.spark.createDataFrame([], "pid BIGINT"))
+        out.replace("panel_inbox", store.spark.createDataFrame([], "pid BIGINT"))
     if counters["listed"]:
         debug = "dbg_" if p.debug_target else ""
         out.append("loads", _load_row(store, load_id, user), _load_part(load_id))

@@ -24,7 +24,11 @@ INPUTS = {
         "mid BIGINT, navteqid BIGINT, navteqver STRING, orient STRING, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE"
     ),
     "topo_streets": "link_id BIGINT, navteqver STRING, linetype STRING",
-    "crp_routing": (
+    "trip_routes": (
+        "sid BIGINT, respondent_id STRING, routingmode STRING, week_day_name STRING, week_day_type STRING,"
+        " trip_freq DOUBLE, geom ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>"
+    ),
+    "trip_routes_older": (
         "sid BIGINT, respondent_id STRING, routingmode STRING, week_day_name STRING, week_day_type STRING,"
         " trip_freq DOUBLE, geom ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>"
     ),
@@ -35,7 +39,7 @@ INPUTS = {
 }
 
 STATE = {
-    "crp_missing": "pid BIGINT",
+    "panel_inbox": "pid BIGINT",
     "no_calc": "pid BIGINT, err_vac_res STRING",
     "no_calc_inc": (
         "pid BIGINT, mid BIGINT, err_vac_res STRING, complexity_index DECIMAL(12,3), routing_difficulty STRING,"

@@ -177,7 +177,11 @@ class DriverTables:
             F.col("l_orderkey").alias("vacid"), period.alias("periodid"), kind.alias("transptype"),
             (F.col("l_quantity") - 1).alias("vac"), F.floor("l_extendedprice").cast("double").alias("rots"),
         ).filter("not (periodid = 1 and transptype = 'ALL')")
-        return totals.unionByName(details).groupBy("vacid", "periodid", "transptype").agg(
+        older = self._read("lineitem").select(
+            F.col("l_orderkey").alias("vacid"), (10 + line % 2).alias("periodid"), kind.alias("transptype"),
+            F.col("l_quantity").alias("vac"), F.floor("l_extendedprice").cast("double").alias("rots"),
+        )
+        return totals.unionByName(details).unionByName(older).groupBy("vacid", "periodid", "transptype").agg(
             F.max("vac").alias("vac"), F.max("rots").alias("rots")
         )
 
@@ -189,8 +193,9 @@ class DriverTables:
         return self._read("lineitem").select(
             F.col("l_partkey").alias("mid"), s.alias("navteqid"), F.lit(MAP_VERSION).alias("navteqver"),
             F.when(F.col("l_linenumber") % 2 == 0, "F").otherwise("T").alias("orient"),
-            (s % m).cast("double").alias("x1"), side.alias("y1"), ((s + 1) % m).cast("double").alias("x2"),
-            side.alias("y2"),
+            # ends that differ in the seventh place are one node, and rows of one segment differ in their end
+            ((s % m) + (F.col("l_linenumber") % 2) * 0.0000002).alias("x1"), side.alias("y1"),
+            ((s + 1) % m + _int_div(F.col("l_linenumber"), 4)).cast("double").alias("x2"), side.alias("y2"),
         )
 
     @cached_property
@@ -206,7 +211,7 @@ class DriverTables:
         return F.concat(F.upper(F.left("c_mktsegment", F.lit(3))), F.col("c_custkey").cast("string"))
 
     @cached_property
-    def crp_routing(self) -> DataFrame:
+    def trip_routes(self) -> DataFrame:
         e = F.col("event_id")
         x = (_int_div(e, TOWN_TRIPS) * TOWN_PITCH + (e * 6151) % TRIP_AREA).cast("double")
         y = ((e * 3079) % TOWN_SIZE).cast("double")
@@ -222,6 +227,12 @@ class DriverTables:
             F.array(point(0, 0), point(400, 300), point(800, -200)).alias("geom"),
         )
 
+    @cached_property
+    def trip_routes_older(self) -> DataFrame:
+        """The trips as an earlier survey drew them, some steps off."""
+        return self.trip_routes.withColumn("geom", F.transform("geom", lambda g: F.struct(
+            (g["x"] + 150).alias("x"), (g["y"] - 100).alias("y"))))
+
     @cached_property
     def resp_weight_input(self) -> DataFrame:
         thousandths = F.floor("c_acctbal").cast("decimal(10,0)")
@@ -241,7 +252,7 @@ class DriverTables:
 
     # -- state of earlier runs ------------------------------------------------
     @cached_property
-    def crp_missing(self) -> DataFrame:
+    def panel_inbox(self) -> DataFrame:
         return self._part.filter("p_brand = 'Brand#13' and p_size <= 12").select("pid").distinct()
 
     @cached_property
@@ -267,7 +278,8 @@ class DriverTables:
             F.lit(0).cast("bigint").alias("vacid"), (p * 2 + 1).alias("faceid"), p.alias("mid"),
             F.lit(c.QUEUE_USER).alias("usrn"), queued.alias("stamp_in_queue"),
             F.when(p % 5 != 2, _plus_hours(queued, 1)).alias("stamp_end"),
-            F.lit(1).alias("priority"), F.lit(0).alias("rmloadid"), F.lit(c.QUEUE_TAG).alias("temp_table"),
+            F.lit(1).alias("priority"), F.lit(0).alias("rmloadid"),
+            F.when(p % 2 == 0, c.QUEUE_TAG).otherwise(c.LEGACY_QUEUE_TAG).alias("temp_table"),
         )
 
     @cached_property
@@ -306,7 +318,9 @@ class DriverTables:
     @cached_property
     def release_publish(self) -> DataFrame:
         panels = self._part.filter("p_type in ('LARGE', 'PROMO', 'SMALL')").select(F.col("p").alias("mid"), "pid")
-        release = F.when(F.col("periodid") == 1, 100).when(F.col("periodid") == 200, 101).otherwise(99)
+        period = F.col("periodid")
+        older = (period == 2) & (F.col("transptype") != "BIC")
+        release = F.when(period == 1, 100).when(period == 200, 101).when(older, 104).when(period.isin(10, 11), 105).otherwise(99)
         return (
             self.output_round.join(self.vai_vac_res.select("vacid", "mid", "faceid"), "vacid")
             .join(panels, "mid").join(self.pnl_facemid.select("faceid", "facepid"), "faceid")

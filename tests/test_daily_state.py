@@ -43,7 +43,7 @@ def test_changed_since_yesterday(tables, daily_p):
             (7, 7, LONG_AGO, 3, 0, 7),
         ],
         pnl_timeatts=[(5, NOON_TODAY, 0), (1, NOON_TODAY, 0), (7, NOON_TODAY, 1)],
-        crp_missing=[(6,)],
+        panel_inbox=[(6,)],
     )
     assert rows(panels.changed_panels(t, daily_p), "mid") == [(1,), (1,), (2,), (5,), (6,)]
     assert rows(panels.changed_panels(t, daily_p.with_(owner_exception=51)), "mid") == [

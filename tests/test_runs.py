@@ -28,7 +28,7 @@ def world(spark, changed_stamp=LONG_AGO, demolished=(), trips=None):
         vai_vac_res=[(90, 1, 11, "E9"), (100, 1, 11, None), (101, 2, 21, None), (102, 3, 31, None), (103, 4, 41, None)],
         output_round=[(100, 1, "ALL", 10.0, 100.0), (100, 1, "VEH", 0.0, 8.0), (100, 200, "ALL", 70.0, 700.0),
                       (101, 1, "ALL", 12.0, 50.0), (102, 1, "ALL", 0.0, 50.0)],
-        crp_routing=trips or [
+        trip_routes=trips or [
             (1, "CZE1", "car", "Monday", "WD", 10.0, LINE), (2, "CZE2", "car", "Monday", "WD", 50.0, LINE),
             (3, "CZE1", "car", "Monday", "WD", 0.0, LINE), (4, "CZE1", "car", "Monday", "WD", 9.0, [(0.0, 9000.0)] * 2),
         ],
@@ -98,15 +98,15 @@ def test_full_run_with_nothing_to_do_still_empties_the_inbox(spark, place, store
     empty = spark.createDataFrame([], "mid BIGINT, x DOUBLE, y DOUBLE")
     empty.write.mode("overwrite").parquet(f"{inputs}/pnl_geom")
     out = store.begin()
-    out.replace("crp_missing", spark.createDataFrame([(4,)], "pid BIGINT"))
+    out.replace("panel_inbox", spark.createDataFrame([(4,)], "pid BIGINT"))
     out.commit()
     assert run_full(store, inputs, full_p) == {"load_id": 0, "listed": 0}
-    assert store.read("crp_missing").count() == 0 and store.read("loads").count() == 0
+    assert store.read("panel_inbox").count() == 0 and store.read("loads").count() == 0
 
 
 def test_inbox_adds_panels_whatever_their_status(spark, place, store, full_p):
     out = store.begin()
-    out.replace("crp_missing", spark.createDataFrame([(4,), (1,)], "pid BIGINT"))
+    out.replace("panel_inbox", spark.createDataFrame([(4,), (1,)], "pid BIGINT"))
     out.commit()
     run_full(store, place(), full_p)
     # panel 4 has no result of its own, so it is listed and set aside
@@ -224,7 +224,7 @@ def test_the_later_of_two_runs_starts_again(spark, place, store, full_p):
     inputs = place()
     late = other.begin()
     assert run_full(store, inputs, full_p)["load_id"] == 1
-    late.replace("crp_missing", spark.createDataFrame([(4,)], "pid BIGINT"))
+    late.replace("panel_inbox", spark.createDataFrame([(4,)], "pid BIGINT"))
     with pytest.raises(CommitConflict):
         late.commit()
     assert run_full(other, inputs, full_p)["load_id"] == 2  # the same base: begun anew on what the first has left
