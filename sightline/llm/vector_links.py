@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm.graph import components
@@ -235,6 +235,25 @@ def _compare(dtype: str, width: int, threshold: float):
     return run
 
 
+def _number(salt: int) -> Column:
+    return F.xxhash64("v") if not salt else F.xxhash64(F.lit(salt), F.col("v"))
+
+
+def identified(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with sid, one row per different vector: sid, v, times, low). Rows are grouped by the vector itself; a
+    number that two vectors share is drawn again, so equal numbers mean equal vectors."""
+    base, salt = base.withColumn("sid", F.when(F.col("v").isNotNull(), _number(0))), 0
+    while True:
+        classes = materialise(base.filter("v is not null").groupBy("sid", "v").agg(
+            F.count("*").alias("times"), F.min("vec_id").alias("low")), "vector-classes")
+        shared = materialise(classes.groupBy("sid").count().filter("count > 1").select("sid", F.lit(True).alias("again")), "shared-numbers")
+        if shared.isEmpty():
+            return base, classes
+        salt += 1
+        base = base.join(shared, "sid", "left").withColumn(
+            "sid", F.when(F.col("again"), _number(salt)).otherwise(F.col("sid"))).drop("again")
+
+
 def link_vectors(
     vectors: DataFrame, threshold: float = 0.9, recall: float = RECALL, sample: int = SAMPLE, block: int = BLOCK, seed: int = 0,
 ) -> DataFrame:
@@ -247,9 +266,7 @@ def link_vectors(
                   "exists(embedding, x -> x <> 0)")
     base = vectors.select(
         F.col("vec_id").cast("long"), F.when(F.coalesce(good, F.lit(False)), F.col("embedding")).alias("v"))
-    base = base.withColumn("sid", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
-    classes = materialise(base.filter("v is not null").groupBy("sid").agg(
-        F.first("v").alias("v"), F.count("*").alias("times"), F.min("vec_id").alias("low")), "vector-classes")
+    base, classes = identified(base)
     told = classes.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
 
     def alone(rows: DataFrame) -> DataFrame:
@@ -261,7 +278,7 @@ def link_vectors(
     width, rng = told.width + told.width % 2, np.random.default_rng(seed)
     picked = classes.orderBy(F.xxhash64("sid"), "sid").limit(sample).select("v").toArrow().combine_chunks().to_batches()[0]
     x = _unit(_vectors(picked, dtype), dtype, width)
-    size = int(min(256, max(8, 2 * round(told.n**0.25)), len(x)))
+    size = int(min(max(8, 2 * round(told.n**0.25)), len(x)))
     books = codebook(x[:, : width // 2], size, rng), codebook(x[:, width // 2:], size, rng)
     visits = cells_to_visit(x, books, threshold, recall, rng)
     shared = spark.sparkContext.broadcast((books, visits))

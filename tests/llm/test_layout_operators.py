@@ -173,6 +173,14 @@ def test_vector_links_of_one_near_group(spark, n, block):
     assert {r.component_id for r in got} == {0}
 
 
+def test_vectors_that_share_a_number_are_told_apart(spark, monkeypatch):
+    number = vector_links._number
+    monkeypatch.setattr(vector_links, "_number", lambda salt: number(salt) if salt else number(0) % 2)
+    rows = [(i, [float(j == i // 2) for j in range(8)]) for i in range(16)] + [(99, None)]
+    got = vector_links.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {**{i: (1, i // 2 * 2) for i in range(16)}, 99: (0, 99)}
+
+
 def test_cells_to_visit_may_be_the_whole_grid():
     x = np.eye(4)[:2] * 0.4 + 1
     x /= np.linalg.norm(x, axis=1, keepdims=True)
