@@ -4,20 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+INTERVALS = 64
+
 
 def band_join(
-    rows: DataFrame, bands: DataFrame, on: Sequence[tuple[str, str]], value: str, low: str, high: str
+    rows: DataFrame, bands: DataFrame, on: Sequence[tuple[str, str]], value: str, low: str, high: str, intervals: int = INTERVALS
 ) -> DataFrame:
     """Rows with the bands they fall in: low < value <= high, plus equal keys.
 
-    The equal keys make it a hash join with the band test as residual; a bare
-    band would be a nested loop over all bands.
+    The values are cut at their quantiles into intervals with like numbers of rows, and
+    a band stands in each interval it meets. Keys and interval make it an equality join
+    whose keys are even also where one band takes most rows; the band test is what is
+    left to check. The cut points are a one-row subquery; a value is in one interval, so
+    no pair shows up twice.
     """
-    keys = [rows[a] == bands[b] for a, b in on]
-    condition = keys[0]
-    for k in keys[1:]:
-        condition = condition & k
-    return rows.join(bands, condition & (rows[value] > bands[low]) & (rows[value] <= bands[high]))
+    shares = F.array(*[F.lit(i / intervals) for i in range(1, intervals)])
+    cuts = rows.agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), shares, 1000))).scalar()
+
+    def below(name: str) -> Column:
+        return F.size(F.filter("_cuts", lambda c: c < F.col(name)))
+
+    def upto(name: str) -> Column:
+        return F.size(F.filter("_cuts", lambda c: c <= F.col(name)))
+
+    dealt = rows.filter(F.col(value).isNotNull()).withColumn("_cuts", cuts).withColumn("_interval", below(value)).drop("_cuts")
+    met = bands.filter(F.col(low) < F.col(high)).withColumn("_cuts", cuts).withColumn(
+        "_interval", F.explode(F.sequence(upto(low), below(high)))).drop("_cuts")
+    condition = dealt["_interval"] == met["_interval"]
+    for a, b in on:
+        condition = condition & (dealt[a] == met[b])
+    inside = (dealt[value] > met[low]) & (dealt[value] <= met[high])
+    return dealt.join(met, condition & inside).drop("_interval")

@@ -118,3 +118,25 @@ def test_groups_are_reduced_before_the_shuffle_and_below_a_short_list(spark):
         assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning(mid") < plan.index("partial_min_by")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bands_are_even_where_one_band_takes_most_rows(spark):
+    df = spark.range(4000).selectExpr("'WD' AS kind", "if(id % 3 = 0, 100 + id / 4000, id / 10) AS v", "id")
+    df = df.unionByName(spark.createDataFrame([("WD", None, -1), ("WE", 5.0, -2), ("WD", 50.0, -3)], df.schema))
+    bands = spark.createDataFrame([("WD", 0.0, 50.0, 1), ("WD", 50.0, 100.0, 2), ("WD", 100.0, 101.0, 3), ("WD", 30.0, 300.0, 4),
+                                   ("WD", 9.0, 9.0, 5), ("WD", 9.0, 3.0, 6), ("WE", None, 9.0, 7)], "day STRING, lo DOUBLE, hi DOUBLE, n INT")
+    want = rows(df.crossJoin(bands).filter("kind = day and v > lo and v <= hi"), "id", "n")
+    got = band_join(df, bands, [("kind", "day")], "v", "lo", "hi")
+    assert got.columns == ["kind", "v", "id", "day", "lo", "hi", "n"] and rows(got, "id", "n") == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        third = band_join(df, bands.filter("n = 3"), [("kind", "day")], "v", "lo", "hi")
+        parts = third.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in parts) == third.count() and max(r["count"] for r in parts) < 600
+    finally:
+        for name in ("autoBroadcastJoinThreshold", "adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(f"spark.sql.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert rows(band_join(df.limit(0), bands, [("kind", "day")], "v", "lo", "hi")) == []
