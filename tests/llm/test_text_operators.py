@@ -47,6 +47,30 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
+def test_a_phrase_in_many_contexts_is_cut_into_several_automata(frame):
+    r = random.Random(9)
+    word = [f"w{i}" for i in range(50)]
+    phrase = " ".join(r.choices(word, k=12))
+    rows = [(i, " ".join(r.choices(word, k=10)) + f" {phrase} " + " ".join(r.choices(word, k=10))) for i in range(60)]
+    rows += [(100 + i, " ".join(rows[i][1].split(" ")[2:-2])) for i in range(0, 60, 7)]
+    want = {i: sum(gone) for i, gone in _gone(rows, 14).items()}
+    got = {x.doc_id: x.n_removed for x in substrings.remove_repeats(frame(rows), 14, 6, 5).collect()}
+    assert got == want and any(want.values()) and not all(want.values())
+
+
+def _gone(rows, n):
+    seen = Counter(b" ".join(w[i: i + n]) for w in (words_of(t) for _, t in rows) for i in range(len(w) - n + 1))
+    out = {}
+    for i, text in rows:
+        words = words_of(text)
+        gone = [False] * len(words)
+        for at in range(len(words) - n + 1):
+            if seen[b" ".join(words[at: at + n])] > 1:
+                gone[at: at + n] = [True] * n
+        out[i] = gone
+    return out
+
+
 @pytest.mark.parametrize(("n", "k", "group"), [(35, 12, 1000), (8, 3, 2)])
 def test_substrings(frame, n, k, group):
     rows = some_texts(n)
@@ -239,6 +263,63 @@ def test_every_repeat_of_a_number_is_found_with_the_trained_field(frame, repeats
     assert len(personal_data.find([alone], field)[0][1]) <= 1 + (repeats == 1)
 
 
+def exact_marginals(tokens, field):
+    """By all labellings of the free variables; a shared label that base spans fix must have one label."""
+    import itertools
+
+    n, m = len(tokens.label), len(tokens.shared)
+    seen = tokens.shared.sum(1) > 0
+    assert ((tokens.shared > 0).sum(1) <= 1).all()
+    known: list[int | None] = [int(tokens.label[i]) if tokens.fixed[i] else None for i in range(n)]
+    known += [int(tokens.shared[k].argmax()) if seen[k] else None for k in range(m)]
+    free = [i for i, v in enumerate(known) if v is None]
+    own = tokens.x @ field.own.T
+    bonds = [(a, b, field.near) for a, b in tokens.near.tolist()]
+    bonds += [(a, b + n, field.alike) for a, b in tokens.alike.tolist() + tokens.rows.tolist()]
+    total = np.zeros((n, 5))
+    for labels in itertools.product(range(5), repeat=len(free)):
+        y = list(known)
+        for i, v in zip(free, labels, strict=True):
+            y[i] = v
+        weight = np.exp(sum(own[i, y[i]] for i in free if i < n) + sum(bond[y[a], y[b]] for a, b, bond in bonds))
+        total[np.arange(n), y[:n]] += weight
+    return total / total.sum(1, keepdims=True), len(free), len(bonds)
+
+
+@pytest.mark.parametrize(("text", "most"), [
+    ("a@b.co 12", 1e-4), ("12 34 x 56", 1e-4), ("call 1234 or 1234", 1e-4), ("+49 30 1234567 or 1234567", 1e-4),
+    ("4111111111111111 99", 1e-4), ("a@b.co x 12 a@b.co", 1e-4), ("12 12 x", 0.1), ("123 45 x 45 123", 0.1)])
+def test_marginals_against_all_labellings(text, most):
+    r = np.random.default_rng(len(text))
+    field = personal_data.start_field()
+    field.own += r.normal(size=field.own.shape) * 0.3
+    field.near += r.normal(size=(5, 5)) * 0.1
+    field.near = (field.near + field.near.T) / 2
+    tokens = personal_data.tokens_of([text], [personal_data.base_spans(text)])
+    exact, free, _ = exact_marginals(tokens, field)
+    got = personal_data.marginals(tokens, field)
+    assert free or tokens.fixed.all()
+    assert np.abs(got - exact).max() < most  # loops are told to a tenth
+    field.alike = np.zeros((5, 5))
+    if text.startswith("+49"):  # without its tie the repeat is not told
+        assert np.abs(personal_data.marginals(tokens, field) - exact).max() > 0.3
+
+
+def test_the_sample_is_whole_texts_of_bounded_number(frame):
+    rows = [(i, f"text {i} " + "word " * 8000 + f"tail{i}@b.co") for i in range(40)] + [(100 + i, "copy 1") for i in range(400)]
+    seen = []
+    fit, personal_data.fit = personal_data.fit, lambda tokens: seen.append(tokens) or fit(tokens)
+    try:
+        personal_data.train(frame(rows), rows=10_000)
+        assert len(set(seen[0].text)) == 41  # every text once, whole: its address is at the end
+        assert (seen[0].label == 1).sum() == 40
+        personal_data.train(frame(rows), rows=44)
+        assert 0 <= len(set(seen[1].text)) < 20  # a tenth of the texts; four hundred copies cannot fill it
+        personal_data.train(frame([]))
+    finally:
+        personal_data.fit = fit
+
+
 def test_messages_settle_alike_whatever_texts_come_with_a_text():
     texts = ["+49 30 1234567 and " + "1234567 x " * 40, "1 2 3 4 5 6 7 8 9 " * 200, "a@b.co 12 a@b.co"]
     together = personal_data.find(texts, personal_data.start_field())
