@@ -1,14 +1,19 @@
 """Training-order materialisation: token sequences in a keyed random order, in fixed-stride binary shards.
 
 1. Every text becomes ids with an end token, cut into sequences of ``stride`` ids, the
-   last one filled up with the end token. They are written once and numbered 0..n-1 in the
-   order of id (null first), hash of the text, copy and place. Documents are counted for that, not
-   sequences sorted: running sums within ranges of ids, and the sums of the ranges before.
-   So a number follows from the rows alone, however they are dealt over files and tasks.
+   last one filled up with the end token. They are written once, up to ``PER_BLOCK``
+   sequences of a document in a row, and numbered 0..n-1 in the order of id (null first),
+   hash of the text, copy and place. Documents are counted for that, not sequences
+   sorted: running sums within ranges of ids, and the sums of the ranges before. Copies
+   are alike, so which one comes first does not matter: each task counts its own, and a
+   running sum over the tasks gives the first number of each. So a number follows from
+   the rows alone, however they are dealt over files and tasks, and the ids move once,
+   to their shard (twice, where the numbers of the documents are too many to broadcast).
 2. A keyed Feistel permutation with cycle-walking sends the number of each sequence to
    its global slot: one to one, without a random column, the same on a rerun.
-3. Shard s holds slots s * per_shard up to (s + 1) * per_shard - 1, in order. The rows
-   are dealt by range, so each task writes whole shards, one after the other.
+3. Shard s holds slots s * per_shard up to (s + 1) * per_shard - 1, in order. The number of
+   slots is known, so each row is dealt to the task of its shard without a sample, and each
+   task writes whole shards, one after the other.
 4. A shard file is a header (magic, ids per sequence, first slot, number of slots; four
    unsigned 64-bit integers) and the ids, unsigned 16 bit, little-endian. Slot g is at a
    known byte, so a reader can go on from any place with one seek. A file is one
@@ -23,10 +28,10 @@ their own. No rows: no shards.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +41,7 @@ from sightline.llm.tokens import vocabulary_path, whole_ids
 from sightline.session import materialise
 
 STRIDE = 256
+PER_BLOCK = 64  # a row stays small however long its document
 PER_SHARD = 4096
 MAGIC = 0x53484152445F3031
 COMPRESSION = "zstd"  # ids repeat as symbols, not as strings: 77 MB where snappy takes 104
@@ -43,63 +49,95 @@ _HEADER = np.dtype("<u8")
 
 
 def _cut(path: str, stride: int):
-    names = ["doc_id", "h", "start", "length", "ids"]
+    names = ["doc_id", "h", "part", "copy", "start", "ids"]
+    block = stride * PER_BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = Counter()  # one entry for each document of the task
         for batch in batches:
-            row, start, length, data = [], [], [], []
-            for i, text in enumerate(batch.column("text")):
+            row, copy, start, data = [], [], [], []
+            for i, (text, *document) in enumerate(zip(*(batch.column(c) for c in ("text", "doc_id", "h")), strict=True)):
                 ids = whole_ids(text.as_py(), path).astype("<u2")
-                for at in range(0, len(ids), stride):
+                document = tuple(x.as_py() for x in document)
+                for at in range(0, len(ids), block):
                     row.append(i)
+                    copy.append(met[document])
                     start.append(at)
-                    length.append(min(stride, len(ids) - at))
-                    data.append(ids[at: at + stride].tobytes())
+                    data.append(ids[at: at + block].tobytes())
+                met[document] += 1
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), batch.column("h").take(at), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int32()), pa.array(data, pa.binary())], names)
+                [*(batch.column(c).take(at) for c in names[:3]), pa.array(copy, pa.int64()), pa.array(start, pa.int64()),
+                 pa.array(data, pa.binary())], names)
 
     return run
 
 
-def _slot(n: int, key: int):
-    @F.pandas_udf("long")
-    def slot(number: pd.Series) -> pd.Series:
-        return pd.Series(permute(number.to_numpy(), n, key))
+def _spread(n: int, key: int, stride: int):
+    """Blocks to sequences, each with its slot."""
+    names = ["slot", "doc_id", "start", "length", "ids"]
 
-    return slot
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, number, start, data = [], [], [], []
+            blocks = zip(*(batch.column(c).to_pylist() for c in ("number", "start", "ids")), strict=True)
+            for i, (first, begin, ids) in enumerate(blocks):
+                for k in range(-(-len(ids) // (2 * stride))):
+                    row.append(i)
+                    number.append(first + k)
+                    start.append(begin + k * stride)
+                    data.append(ids[2 * k * stride: 2 * (k + 1) * stride])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(permute(np.array(number, np.int64), n, key), pa.int64()),
+                 batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()),
+                 pa.array([len(x) // 2 for x in data], pa.int32()), pa.array(data, pa.binary())], names)
+
+    return run
 
 
-def _first_numbers(cut: DataFrame) -> DataFrame:
-    """(doc_id, h, n, base): sequences of one copy of a document, and the number of the first one of its copies."""
+def _first_numbers(cut: DataFrame, stride: int) -> tuple[DataFrame, int]:
+    """(doc_id, h, part, n, base) and the number of all sequences: sequences of one copy of a document, and the number
+    of the first one of its copies in a task."""
     spark = cut.sparkSession
-    documents = materialise(cut.groupBy("doc_id", "h").agg(
-        F.count("*").alias("all"), F.count_if(F.col("start") == 0).alias("copies")), "document-sequences")
-    dealt = documents.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "h").withColumn("part", F.spark_partition_id())
-    dealt = materialise(dealt, "document-ranges")
+    sequences = F.expr(f"(length(ids) div 2 + {stride - 1}) div {stride}")
+    counted = materialise(cut.groupBy("doc_id", "h", "part").agg(
+        F.sum(sequences).alias("here"), F.count_if(F.col("start") == 0).alias("copies")), "document-sequences")
+    documents = counted.groupBy("doc_id", "h").agg(F.sum("here").alias("all"))
+    n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialise(documents.repartitionByRange(n_ranges, "doc_id", "h").withColumn("range", F.spark_partition_id()), "document-ranges")
     before, bases = 0, []
-    for part, n in dealt.groupBy("part").agg(F.sum("all")).orderBy("part").collect():  # one row for each range
-        bases.append((part, before))
+    for number, n in dealt.groupBy("range").agg(F.sum("all")).orderBy("range").collect():  # one row for each range
+        bases.append((number, before))
         before += n
-    within = Window.partitionBy("part").orderBy("doc_id", "h").rowsBetween(Window.unboundedPreceding, -1)
-    return dealt.join(F.broadcast(spark.createDataFrame(bases, "part int, base long")), "part").select(
-        "doc_id", "h", F.expr("all div copies").alias("n"), (F.col("base") + F.coalesce(F.sum("all").over(within), F.lit(0))).alias("base"))
+    within = Window.partitionBy("range").orderBy("doc_id", "h").rowsBetween(Window.unboundedPreceding, -1)
+    first = dealt.join(F.broadcast(spark.createDataFrame(bases, "range int, base long")), "range").select(
+        "doc_id", "h", (F.col("base") + F.coalesce(F.sum("all").over(within), F.lit(0))).alias("base"))
+    earlier = Window.partitionBy("doc_id", "h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counted.withColumn("earlier", F.coalesce(F.sum("here").over(earlier), F.lit(0)))
+    p, f = parts.alias("p"), first.alias("f")
+    met = p.join(f, F.col("p.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("p.h") == F.col("f.h")))
+    return materialise(met.select(
+        "p.doc_id", "p.h", "part", F.expr("here div copies").alias("n"), (F.col("base") + F.col("earlier")).alias("base")),
+        "first-numbers"), before
+
+
+def _ordered(documents: DataFrame, key: int, path: str | None, stride: int) -> tuple[DataFrame, int]:
+    base = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
+        F.spark_partition_id().alias("part"), "text")
+    cut = materialise(base.mapInArrow(
+        _cut(path or vocabulary_path(), stride), "doc_id long, h long, part int, copy long, start long, ids binary"), "sequences", COMPRESSION)
+    first, total = _first_numbers(cut, stride)
+    c, f = cut.alias("c"), first.alias("f")
+    met = c.join(f, F.col("c.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("c.h") == F.col("f.h")) & (F.col("c.part") == F.col("f.part")))
+    number = (F.col("base") + F.col("copy") * F.col("n") + F.expr(f"start div {stride}")).alias("number")
+    return met.select("c.doc_id", number, "start", "ids").mapInArrow(
+        _spread(total, key, stride), "slot long, doc_id long, start long, length int, ids binary"), total
 
 
 def ordered(documents: DataFrame, key: int = 1, path: str | None = None, stride: int = STRIDE) -> DataFrame:
     """(slot, doc_id, start, length, ids): every sequence with its place in training order; slots have no gap."""
-    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
-    cut = materialise(base.mapInArrow(
-        _cut(path or vocabulary_path(), stride), "doc_id long, h long, start long, length int, ids binary"), "sequences", COMPRESSION)
-    first = materialise(_first_numbers(cut), "first-numbers")
-    total = cut.count()
-    c, f = cut.alias("c"), first.alias("f")
-    met = c.join(f, F.col("c.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("c.h") == F.col("f.h"))).select("c.*", "n", "base")
-    copy = F.row_number().over(Window.partitionBy("doc_id", "h", "start").orderBy("length")) - 1  # copies are alike
-    number = F.col("base") + copy * F.col("n") + F.expr(f"start div {stride}")
-    return met.withColumn("number", number).withColumn("slot", _slot(total, key)(F.col("number"))).select(
-        "slot", "doc_id", "start", "length", "ids")
+    return _ordered(documents, key, path, stride)[0]
 
 
 def _files(stride: int, per_shard: int):
@@ -143,9 +181,11 @@ def write_shards(
     table is kept among the session's intermediate ones.
     """
     spark = documents.sparkSession
-    rows = ordered(documents, key, path, stride).withColumn("shard", F.expr(f"slot div {per_shard}"))
+    rows, total = _ordered(documents, key, path, stride)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = rows.repartitionByRange(n, "shard").sortWithinPartitions("slot").drop("shard").mapInArrow(
+    shards = max(1, -(-total // per_shard))
+    task = F.expr(f"cast((slot div {per_shard}) * {n} div {shards} as int)")
+    files = rows.repartitionById(n, task).sortWithinPartitions("slot").mapInArrow(
         _files(stride, per_shard), "shard long, n_sequences long, first_slot long, n_tokens long, crc32 long, data binary, "
         "index array<struct<slot: long, doc_id: long, start: long, length: int, crc32: long>>")
     if to is None:
