@@ -1,7 +1,10 @@
 """Similarity join of documents on n-gram Jaccard, by rare-first prefix filtering.
 
-Copies are merged first: documents with one set of n-grams are one class, found by an
-order-free 64-bit hash of the set. Everything after works on classes.
+Copies are merged first: documents with one set of n-grams are one class, told by an
+order-free 128-bit hash of the set. The first half names the class; where sets that
+differ in the second half share a name, the second half takes its place. Such names come
+by chance only, n * n / 2^65 of them for n documents (about three in 10^10), so the
+driver can hold their list. Everything after works on classes.
 
 1. One pass over the texts gives each document its set hash and counts every n-gram in
    ``BUCKETS`` hash buckets. The counts cover all documents and have a fixed size, so
@@ -50,7 +53,7 @@ BUCKETS = 1 << 16
 LEAST_PARTS, MOST_PARTS = 512, 8192
 REMEMBERED = 200_000
 MORE_ROUNDS, LEADERS, HEAD = 2, 3, 8
-_A, _B = np.uint64(0xD1342543DE82EF95), np.uint64(0xF1357AEA2E62A9C5)
+_A, _B, _C = np.uint64(0xD1342543DE82EF95), np.uint64(0xF1357AEA2E62A9C5), np.uint64(0x9FB21C651E98DF25)
 
 
 def gram_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,13 +77,17 @@ def gram_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return owner[new], gram[new]
 
 
-def set_hashes(owner: np.ndarray, gram: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each text's set, size of each)."""
+def set_hashes(owner: np.ndarray, gram: np.ndarray, n_texts: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first and second hash of each text's set, size of each); the first one has ``bits`` bits."""
     size = np.bincount(owner, minlength=n_texts)
-    sums = np.zeros(n_texts, np.uint64)
-    if len(gram):
-        sums[size > 0] = np.add.reduceat(mix(gram ^ _B), (np.cumsum(size) - size)[size > 0])
-    return mix(sums + size.astype(np.uint64)).view(np.int64), size
+
+    def hashes(salt: np.uint64) -> np.ndarray:
+        sums = np.zeros(n_texts, np.uint64)
+        if len(gram):
+            sums[size > 0] = np.add.reduceat(mix(gram ^ salt), (np.cumsum(size) - size)[size > 0])
+        return mix(sums + size.astype(np.uint64))
+
+    return (hashes(_B) >> np.uint64(64 - bits)).view(np.int64), hashes(_C).view(np.int64), size
 
 
 def parts_of(size: np.ndarray) -> np.ndarray:
@@ -106,35 +113,38 @@ def fewest_unlike(x: str, y: str) -> str:
     return f"if(size({y}) > 2 * size({x}), 0, aggregate({each}, 0, (s, v) -> s + v))"
 
 
-def _classes(n: int):
-    names = ["doc_id", "h", "n_shingles", "sid", "odd", "bucket", "times"]
+def _classes(n: int, bits: int):
+    names = ["doc_id", "h", "n_shingles", "sid", "other", "odd", "bucket", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for part, texts in batch_chunks(batch):
                 owner, gram = gram_sets(texts, n)
-                sid, size = set_hashes(owner, gram, len(texts))
+                sid, other, size = set_hashes(owner, gram, len(texts), bits)
                 counts += np.bincount((gram >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("h"), pa.array(size), pa.array(sid, mask=size == 0),
-                     parities(owner, gram, size), pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.int64())],
+                     pa.array(other, mask=size == 0), parities(owner, gram, size), pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.int64())],
                     names)
         at = np.flatnonzero(counts)
         none = pa.nulls(len(at), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none] * 4 + [pa.nulls(len(at), pa.list_(pa.int64())), pa.array(at.astype(np.int32)), pa.array(counts[at])], names)
+            [none] * 5 + [pa.nulls(len(at), pa.list_(pa.int64())), pa.array(at.astype(np.int32)), pa.array(counts[at])], names)
 
     return run
 
 
-def _prefixes(n: int, percent: int, often):
+def _prefixes(n: int, percent: int, often, bits: int, shared_names: list[int]):
+    shared_names = np.array(shared_names, np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, met = often.value, set()
         for batch in batches:
             for _, texts in batch_chunks(batch):
                 owner, gram = gram_sets(texts, n)
-                sid, size = set_hashes(owner, gram, len(texts))
+                sid, other, size = set_hashes(owner, gram, len(texts), bits)
+                sid = np.where(np.isin(sid, shared_names), other, sid)
                 fresh = np.zeros(len(texts), bool)
                 for i in np.flatnonzero(size):  # copies in one task add nothing
                     fresh[i] = sid[i] not in met
@@ -215,18 +225,27 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return both.select("a", "b", "a_text", "b_text").mapInArrow(_verify(n, percent), "a long, b long, linked boolean")
 
 
-def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(documents with n_shingles and sid, links between classes (a, b)); ``base`` has doc_id, h, text."""
+def similar_classes(base: DataFrame, n: int, percent: int, bits: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(documents with n_shingles and sid, links between classes (a, b)); ``base`` has doc_id, h, text.
+
+    ``bits`` of the first hash name a class; fewer than 64 make sets share names, for tests.
+    """
     spark = base.sparkSession
     told = materialise(base.mapInArrow(
-        _classes(n), "doc_id long, h long, n_shingles long, sid long, odd array<bigint>, bucket int, times long"), "gram-sets")
+        _classes(n, bits), "doc_id long, h long, n_shingles long, sid long, other long, odd array<bigint>, bucket int, times long"),
+        "gram-sets")
     documents = told.filter("bucket is null").drop("bucket", "times")
+    halves = documents.groupBy("sid").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+    shared_names = [r.sid for r in halves.filter("low < high").select("sid").collect()]
+    if shared_names:
+        documents = documents.withColumn("sid", F.when(F.col("sid").isin(shared_names), F.col("other")).otherwise(F.col("sid")))
+    documents = documents.drop("other")
     counts = np.zeros(BUCKETS, np.int64)
     for bucket, times in told.filter("bucket is not null").groupBy("bucket").agg(F.sum("times")).collect():
         counts[bucket] = times
     often = spark.sparkContext.broadcast(counts)
 
-    prefixes = base.mapInArrow(_prefixes(n, percent, often), "gram long, sid long, size int, place int")
+    prefixes = base.mapInArrow(_prefixes(n, percent, often, bits, shared_names), "gram long, sid long, size int, place int")
     shared = materialise(
         prefixes.repartition("gram").sortWithinPartitions("gram", "size", "sid", "place")
         .mapInArrow(_lead, "gram long, sid long, size int, place int, l_sid long, l_size int, l_place int"),
@@ -297,7 +316,7 @@ def similar_classes(base: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
     return documents, links.unionByName(materialise(more, "prefix-links")).filter("linked").select("a", "b")
 
 
-def join_similar(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+def join_similar(documents: DataFrame, n: int = 4, percent: int = 85, bits: int = 64) -> DataFrame:
     """(doc_id, h, n_shingles, component_id, component): one row per document.
 
     ``component_id`` is the smallest doc_id linked directly or through others, with
@@ -306,7 +325,7 @@ def join_similar(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     so ``component`` tells components apart by number. It is null without n-grams.
     """
     base = documents.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
-    sets, links = similar_classes(base, n, percent)
+    sets, links = similar_classes(base, n, percent, bits)
     groups = components(links)
     members = sets.filter("sid is not null")
     low = members.groupBy("sid").agg(F.min("doc_id").alias("low"))

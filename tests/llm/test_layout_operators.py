@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -27,7 +28,8 @@ def test_encoder_agrees_with_the_tokenizers_library():
 
     path = tokens.vocabulary_path()
     whole = Tokenizer.from_file(path)
-    for _, text in TEXTS:
+    documents = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    for text in [*(t for _, t in TEXTS), *documents]:
         assert tokens.encoder(path)(text or "").tolist() == whole.encode(text or "", add_special_tokens=False).ids
 
 

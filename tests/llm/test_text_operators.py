@@ -135,6 +135,15 @@ def test_ngram_join(frame, n, percent):
     assert sorted(r.doc_id for r in kept.collect()) == sorted([*wordless, *({c for _, c in want.values()} - set(wordless))])
 
 
+def test_unlike_sets_of_one_name_stay_apart(frame):
+    """With two bits for the first hash nearly all sets share their name; the second hash tells them apart."""
+    rows = some_texts(4)
+    want = components_of(rows, 4, 85)
+    got = ngram_join.join_similar(frame(rows), 4, 85, bits=2).collect()
+    assert len(got) == len(rows)
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] for r in got)
+
+
 def test_parities_bound_the_difference_and_tell_unrelated_long_texts(spark):
     r = np.random.default_rng(3)
     rows = []
