@@ -77,6 +77,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: dict[str, str]) ->
         rank += [F.col(name).isNull(), F.col(name)] if name not in order else []
     if not others:
         return df.select(*keys).distinct()
+    if len(others) == 1 and others == list(order):  # one column: its extreme is a plain maximum or minimum, which needs no sort
+        (name, way), = order.items()
+        extreme = F.when(F.count_if(F.col(name).isNull()) == 0, F.max(name)) if way == "desc" else F.min(name)
+        return df.groupBy(*keys).agg(extreme.alias(name)).select(*df.columns)
     first = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(rank)])
     # plain aggregates: a projection above them would keep a join with the keys from going below
     return df.groupBy(*keys).agg(*[F.min_by(n, first).alias(n) for n in others]).select(*df.columns)

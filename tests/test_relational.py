@@ -8,6 +8,15 @@ from sightline.operators import relational as rel
 from sightline.operators.bands import band_join
 
 
+def test_newest_of_one_column_is_a_hash_aggregate_with_the_same_rows(spark):
+    runs = spark.createDataFrame(
+        [(1, 10), (1, None), (2, 5), (2, 7), (3, None), (3, None), (None, 4), (None, 6)], "mid BIGINT, vacid BIGINT")
+    for way in ("desc", "asc"):
+        got = rel.first_per_key(runs, ["mid"], {"vacid": way})
+        assert rows(got) == rows(rel.first_per_group(runs, ["mid"], {"vacid": way}))
+        assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_descending_puts_null_first(spark):
     runs = spark.createDataFrame([(1, 10), (1, None), (2, 5), (2, 7)], "mid BIGINT, vacid BIGINT")
     assert rows(rel.first_per_group(runs, ["mid"], {"vacid": "desc"})) == [(1, None), (2, 7)]
