@@ -89,6 +89,21 @@ def test_shards_round_trip(frame):
     assert all(r.shard == r.slot // per_shard for r in index)
 
 
+def test_copies_in_many_tasks_have_a_place_each(spark):
+    """Copies of one row, with an id and without, also of a text of several blocks, dealt over tasks."""
+    long = " ".join(f"w{i}" for i in range(1500))
+    rows = [(1, long)] * 5 + [(None, long)] * 4 + [(None, "short")] * 7 + [(2, "short")] * 3 + [(2, "other")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for parts in (1, 4, 9):
+        got = shards.ordered(table.repartition(parts), 3, tokens.vocabulary_path(), 16).collect()
+        assert sorted(r.slot for r in got) == list(range(len(got)))
+        found.append(sorted(map(str, got)))
+    assert found[0] == found[1] == found[2]
+    each = -(-len(tokens.whole_ids(long, tokens.vocabulary_path())) // 16)
+    assert each > 2 * shards.PER_BLOCK and len(got) == 9 * each + 11
+
+
 def test_training_order_does_not_depend_on_partitions(frame):
     path, order = tokens.vocabulary_path(), ["slot", "doc_id", "start", "length", "ids"]
     ways = [frame.coalesce(1), frame.repartition(3), frame.orderBy(frame["text"].desc())]
