@@ -227,3 +227,15 @@ def test_nearest_on_the_globe(spark, radius):
         near = sorted((round(great_circle(at, c[1:]), 3), c[0]) for c in cands)
         want += [(q, c, i + 1) for i, (d, c) in enumerate([n for n in near if radius is None or n[0] <= radius][:7])]
     assert nearest(spark, queries, cands, 7, radius, metric="metres", leaf_size=8) == sorted(want)
+
+
+def test_lon_lat_join_is_compiled(spark):
+    """Code over 64 KB is not compiled; Spark then interprets the rows, unless it may not fall back."""
+    fallback = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        points = [(1, 14.0, 60.001, 120), (2, 14.0, 60.001, 100), (3, 14.001, 60.0, 60)]
+        lines = [(1, [(13.99, 60.0), (14.0, 60.0)]), (2, [(13.99, 60.0), (14.0, 60.0), (14.3, 60.2)])]
+        assert join(spark, points, lines, metric="metres") == [(1, 1), (1, 2), (2, 2), (3, 1), (3, 2)]
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", fallback)
