@@ -239,3 +239,24 @@ def test_lon_lat_join_is_compiled(spark):
         assert join(spark, points, lines, metric="metres") == [(1, 1), (1, 2), (2, 2), (3, 1), (3, 2)]
     finally:
         spark.conf.set("spark.sql.codegen.fallback", fallback)
+
+
+@pytest.mark.parametrize("radius", [None, 900.0])
+def test_groups_of_queries_walk_together(spark, radius):
+    """The bound of a query takes in its k nearest, and its leaves hold all candidates within."""
+    rnd = random.Random(5)
+    candidates = [(i, float(rnd.randint(0, 5000)), float(rnd.randint(0, 5000))) for i in range(400)]
+    spots = sorted({(float(rnd.randint(-500, 5500)), float(rnd.randint(0, 5000))) for _ in range(150)})
+    tree = Tree(spark.createDataFrame(candidates, "key INT, x DOUBLE, y DOUBLE"), radius, "planar", 8)
+    walked = tree.walk(spark.createDataFrame(spots, "qx DOUBLE, qy DOUBLE"), 5)
+    met = walked.join(tree.leaves, "_node").groupBy("qx", "qy").agg(
+        F.first("_bound").alias("bound"), F.collect_set("key").alias("keys")).collect()
+    found = {(r["qx"], r["qy"]): (r["bound"], set(r["keys"])) for r in met}
+    for x, y in spots:
+        away = sorted(((cx - x) ** 2 + (cy - y) ** 2, key) for key, cx, cy in candidates)
+        wanted = [a for a in away[:5] if radius is None or a[0] <= radius * radius]
+        bound, keys = found.get((x, y), (None, set()))
+        assert {key for _, key in wanted} <= keys
+        if bound is not None:
+            assert all(a <= bound for a, _ in wanted)
+    assert sum(len(keys) for _, keys in found.values()) < len(spots) * len(candidates) / 4
