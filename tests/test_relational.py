@@ -149,3 +149,24 @@ def test_bands_are_even_where_one_band_takes_most_rows(spark):
             spark.conf.unset(f"spark.sql.{name}")
         spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert rows(band_join(df.limit(0), bands, [("kind", "day")], "v", "lo", "hi")) == []
+
+
+def test_many_keys_in_a_small_file_are_not_broadcast(spark, tmp_path):
+    """A million keys in order are few bytes of Parquet; what counts for a join is the size of the rows."""
+    from sightline.session import ESTIMATE, estimate_by_rows
+    from sightline.sources.driver_tables import DriverTables
+
+    before = spark.conf.get(ESTIMATE)
+    spark.range(1_200_000).selectExpr(
+        "id as p_partkey", "'part of the table' as p_name", "'Brand#11' as p_brand", "'LARGE' as p_type",
+        "cast(id % 50 as int) as p_size", "1.0D as p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    try:
+        spark.conf.set(ESTIMATE, "1.0")
+        t = DriverTables(spark, str(tmp_path))
+        plan = t.pnl_main.join(t.pnl_geom, "mid")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        spark.conf.set(ESTIMATE, "3.0")
+        estimate_by_rows(spark)
+        assert spark.conf.get(ESTIMATE) == "3.0"
+    finally:
+        spark.conf.set(ESTIMATE, before)
