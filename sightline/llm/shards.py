@@ -8,7 +8,8 @@
    are alike, so which one comes first does not matter: each task counts its own, and a
    running sum over the tasks gives the first number of each. So a number follows from
    the rows alone, however they are dealt over files and tasks, and the ids move once,
-   to their shard (twice, where the numbers of the documents are too many to broadcast).
+   to their shard (twice, where the numbers of the documents are too many to broadcast;
+   then they are written in between, and what was written and shuffled before is dropped).
 2. A keyed Feistel permutation with cycle-walking sends the number of each sequence to
    its global slot: one to one, without a random column, the same on a rerun.
 3. Shard s holds slots s * per_shard up to (s + 1) * per_shard - 1, in order. The number of
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm.permute import permute
 from sightline.llm.tokens import vocabulary_path, whole_ids
-from sightline.session import materialise
+from sightline.session import discard, materialise, shuffles_dropped
 
 STRIDE = 256
 PER_BLOCK = 64  # a row stays small however long its document
@@ -73,24 +74,31 @@ def _cut(path: str, stride: int):
     return run
 
 
+def _bytes(ids: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
+    """Where the values begin in the buffer, and where the last one ends; and the buffer."""
+    _, ends, data = ids.cast(pa.binary()).buffers()
+    return np.frombuffer(ends, np.int32)[ids.offset: ids.offset + len(ids) + 1], data
+
+
 def _spread(n: int, key: int, stride: int):
     """Blocks to sequences, each with its slot."""
     names = ["slot", "doc_id", "start", "length", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, number, start, data = [], [], [], []
-            blocks = zip(*(batch.column(c).to_pylist() for c in ("number", "start", "ids")), strict=True)
-            for i, (first, begin, ids) in enumerate(blocks):
-                for k in range(-(-len(ids) // (2 * stride))):
-                    row.append(i)
-                    number.append(first + k)
-                    start.append(begin + k * stride)
-                    data.append(ids[2 * k * stride: 2 * (k + 1) * stride])
+            if not batch.num_rows:
+                continue
+            ends, data = _bytes(batch.column("ids"))
+            pieces = -(-np.diff(ends) // (2 * stride))
+            row = np.repeat(np.arange(len(pieces)), pieces)
+            k = np.arange(len(row)) - (np.cumsum(pieces) - pieces)[row]
+            cuts = np.append(ends[row] + 2 * stride * k, ends[-1]).astype(np.int32)  # blocks lie one behind the other
+            number = batch.column("number").to_numpy()[row] + k
             yield pa.RecordBatch.from_arrays(
-                [pa.array(permute(np.array(number, np.int64), n, key), pa.int64()),
-                 batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()),
-                 pa.array([len(x) // 2 for x in data], pa.int32()), pa.array(data, pa.binary())], names)
+                [pa.array(permute(number, n, key), pa.int64()), batch.column("doc_id").take(pa.array(row)),
+                 pa.array(batch.column("start").to_numpy()[row] + stride * k, pa.int64()),
+                 pa.array(np.diff(cuts) // 2, pa.int32()),
+                 pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(cuts), data])], names)
 
     return run
 
@@ -131,7 +139,10 @@ def _ordered(documents: DataFrame, key: int, path: str | None, stride: int) -> t
     c, f = cut.alias("c"), first.alias("f")
     met = c.join(f, F.col("c.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("c.h") == F.col("f.h")) & (F.col("c.part") == F.col("f.part")))
     number = (F.col("base") + F.col("copy") * F.col("n") + F.expr(f"start div {stride}")).alias("number")
-    return met.select("c.doc_id", number, "start", "ids").mapInArrow(
+    # written, so the shuffle that brought the numbers is gone when the ids move to their shards
+    numbered = materialise(met.select("c.doc_id", number, "start", "ids"), "numbered-sequences", COMPRESSION)
+    discard(cut)
+    return numbered.mapInArrow(
         _spread(total, key, stride), "slot long, doc_id long, start long, length int, ids binary"), total
 
 
@@ -144,29 +155,39 @@ def _files(stride: int, per_shard: int):
     names = ["shard", "n_sequences", "first_slot", "n_tokens", "crc32", "data", "index"]
     entry = pa.struct([("slot", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("crc32", pa.int64())])
 
-    def emit(shard: int, rows: list[tuple]) -> pa.RecordBatch:
-        body = b"".join(r[4].ljust(2 * stride, b"\0") for r in rows)
+    def emit(shard: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        slots, length = (rows.column(c).to_numpy() for c in ("slot", "length"))
         first = shard * per_shard
-        if [r[0] for r in rows] != list(range(first, first + len(rows))):
+        if not np.array_equal(slots, np.arange(first, first + len(slots))):
             raise ValueError(f"shard {shard} has a gap")
-        data = np.array([MAGIC, stride, first, len(rows)], _HEADER).tobytes() + body
-        index = [dict(zip(entry.names, (*r[:4], zlib.crc32(r[4])), strict=True)) for r in rows]
+        ends, buffer = _bytes(rows.column("ids"))
+        flat = np.frombuffer(buffer, np.uint8)
+        body = np.zeros((len(slots), 2 * stride), np.uint8)
+        body[np.arange(2 * stride) < 2 * length[:, None]] = flat[ends[0]: ends[-1]]
+        data = np.array([MAGIC, stride, first, len(slots)], _HEADER).tobytes() + body.tobytes()
+        sums = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        index = pa.StructArray.from_arrays([*(rows.column(c) for c in entry.names[:4]), pa.array(sums, pa.int64())], fields=list(entry))
         return pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int64()), pa.array([len(rows)], pa.int64()), pa.array([first], pa.int64()),
-             pa.array([sum(r[3] for r in rows)], pa.int64()), pa.array([zlib.crc32(data)], pa.int64()),
-             pa.array([data], pa.binary()), pa.array([index], pa.list_(entry))], names)
+            [pa.array([shard], pa.int64()), pa.array([len(slots)], pa.int64()), pa.array([first], pa.int64()),
+             pa.array([int(length.sum())], pa.int64()), pa.array([zlib.crc32(data)], pa.int64()),
+             pa.array([data], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(slots)], pa.int32()), index)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, rows = None, []
+        shard, parts = None, []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("slot", "doc_id", "start", "length", "ids")), strict=True):
-                if row[0] // per_shard != shard:
-                    if rows:
-                        yield emit(shard, rows)
-                    shard, rows = row[0] // per_shard, []
-                rows.append(row)
-        if rows:
-            yield emit(shard, rows)
+            if not batch.num_rows:
+                continue
+            of = batch.column("slot").to_numpy() // per_shard
+            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if of[a] != shard:
+                    if parts:
+                        yield emit(shard, parts)
+                    shard, parts = int(of[a]), []
+                parts.append(batch.slice(a, b - a))
+        if parts:
+            yield emit(shard, parts)
 
     return run
 
@@ -190,7 +211,8 @@ def write_shards(
         "index array<struct<slot: long, doc_id: long, start: long, length: int, crc32: long>>")
     if to is None:
         return materialise(files, "shards", COMPRESSION)
-    files.write.parquet(to, compression=COMPRESSION)
+    with shuffles_dropped(spark):
+        files.write.parquet(to, compression=COMPRESSION)
     return spark.read.schema(files.schema).parquet(to)
 
 

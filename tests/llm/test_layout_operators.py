@@ -104,6 +104,17 @@ def test_copies_in_many_tasks_have_a_place_each(spark):
     assert each > 2 * shards.PER_BLOCK and len(got) == 9 * each + 11
 
 
+def test_ids_are_on_disk_once_when_they_move_to_their_shards(frame, monkeypatch):
+    written, gone = [], []
+    keep, drop = shards.materialise, shards.discard
+    monkeypatch.setattr(shards, "materialise", lambda df, label, *a: written.append(label) or keep(df, label, *a))
+    monkeypatch.setattr(shards, "discard", lambda df: gone.append(df.columns) or drop(df))
+    rows = shards.ordered(frame, 5, tokens.vocabulary_path(), 16)
+    assert written[0] == "sequences" and written[-1] == "numbered-sequences"
+    assert gone == [["doc_id", "h", "part", "copy", "start", "ids"]]
+    assert rows.count() == shards.sequences(shards.write_shards(frame, None, 5, tokens.vocabulary_path(), 16)).count()
+
+
 def test_training_order_does_not_depend_on_partitions(frame):
     path, order = tokens.vocabulary_path(), ["slot", "doc_id", "start", "length", "ids"]
     ways = [frame.coalesce(1), frame.repartition(3), frame.orderBy(frame["text"].desc())]
