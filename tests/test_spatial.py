@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from sightline.operators.neighbours import Tree, knn_join
-from sightline.operators.spatial import within_distance_join
+from sightline.operators.spatial import _Grid, within_distance_join
 
 
 def segment_distance2(p, a, b):
@@ -134,6 +134,17 @@ def test_far_off_coordinate_costs_the_cells_of_the_panels_only(spark):
     assert join(spark, points, lines) == brute_pairs(points, lines)
 
 
+def test_a_piece_of_a_line_is_one_row(spark):
+    """Lines are mostly the larger side: they are not repeated in the cells around."""
+    points = spark.createDataFrame([(1, 0.0, 0.0, 300.0), (2, 9000.0, 9000.0, 400.0)], "mid BIGINT, x DOUBLE, y DOUBLE, radius DOUBLE")
+    near = [(s, [(300.0 * s, 500.0), (300.0 * s + 400, 800.0), (300.0 * s + 800, 300.0)]) for s in range(20)]
+    lines = spark.createDataFrame([*near, (99, [(0.0, 0.0), (5120.0, 0.0)])], "sid BIGINT, geom ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>")
+    grid = _Grid("planar", 512.0)
+    cells = grid.segment_cells(lines, ["sid"], "geom", grid.reached(points)).groupBy("sid").count()
+    assert rows(cells) == [*[(s, 2) for s in range(20)], (99, 10)]
+    assert grid.point_cells(points, ["mid"]).groupBy("mid").count().agg(F.max("count")).first()[0] <= 16
+
+
 # -- nearest neighbours --------------------------------------------------------
 def brute_nearest(queries, cands, k, radius):
     out = []
