@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from sightline.operators import relational as rel
-from sightline.operators.bands import band_join
+from sightline.operators.bands import band_join, deal
 
 
 def test_newest_of_one_column_is_a_hash_aggregate_with_the_same_rows(spark):
@@ -170,3 +170,12 @@ def test_many_keys_in_a_small_file_are_not_broadcast(spark, tmp_path):
         assert spark.conf.get(ESTIMATE) == "3.0"
     finally:
         spark.conf.set(ESTIMATE, before)
+
+
+def test_interval_of_a_value_is_the_number_of_cut_points_below(spark):
+    values = [None, float("nan"), -1.0, 0.0, 0.5, 9.0, 9.5, 63.0, 64.0, *[float(v) for v in range(0, 80, 7)]]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    for n in (0, 1, 7, 8, 9, 63):
+        cuts = [float(c) for c in range(n)]
+        want = [(v, n if v != v else sum(c < v for c in cuts)) for v in values if v is not None]
+        assert sorted(map(str, rows(deal(df, "v", cuts)))) == sorted(map(str, want))
