@@ -67,6 +67,29 @@ def test_latest_result_counts_only_if_it_is_the_latest_run(tables, spark, full_p
     ]
 
 
+def test_lists_of_a_daily_run_share_the_latest_results(tables, spark, daily_p, monkeypatch):
+    """Runs and results are read once for the changed, the recalculated and the repaired panels."""
+    from sightline.plans.incremental import IncrementalRun
+
+    t = tables(
+        pnl_main=[(m, m, 100, "K", "S", "24q4" if m == 5 else "25q1") for m in range(1, 8)],
+        pnl_geom=[(m, 10.0 * m, 0.0) for m in range(1, 8)],
+        panel_state=[(m, m, NOON_TODAY if m < 4 else LONG_AGO, 3, 0, 7) for m in range(1, 8)],
+        vai_vac_res=[(100 + m, m, m, None) for m in range(1, 8)] + [(1, m, m, "E") for m in range(1, 8)],
+        output_round=[(100 + m, 1, "ALL", float(m), 1.0) for m in range(1, 8)],
+        no_calc_inc=[entry(4, in_queue=True, calculated=True)],
+        bad_navteq=[(6, 6, "24q4", 0)],
+    )
+    written = []
+    for module in (panels, lifecycle):
+        write = module.materialise
+        monkeypatch.setattr(module, "materialise", lambda df, label, _write=write, **kw: written.append(label) or _write(df, label, **kw))
+    run = IncrementalRun(t, daily_p)
+    assert rows(run.panels, "mid", "last_vacid", "err_vac_res", "vac_all_1") == [
+        (m, 100 + m, None, float(m)) for m in (1, 2, 3, 4, 6)]
+    assert written.count("latest-runs") == written.count("latest-results") == 1
+
+
 def test_statistics_and_results_share_the_trips(tables, spark, full_p, monkeypatch):
     """The trips are joined with their weights once, and a trip is one row until its bands are met."""
     from sightline.plans import ccf, contacts
